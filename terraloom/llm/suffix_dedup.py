@@ -26,8 +26,8 @@ _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B
 _NONE = 0x7FFFFFFFFFFFFFFF
 
 
-def start_keys(buf: bytes, width: int) -> np.ndarray:
-    """For each string of width bytes in buf, the least hash of its grams."""
+def start_keys(buf: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each string of width bytes in buf, the least hash of its grams, and whether its first gram has it."""
     n = len(buf) - GRAM + 1
     words = np.ndarray((len(buf) - 7,), "<u8", buf, 0, (1,))
     h = words[:n] * _ODD[0]
@@ -35,17 +35,17 @@ def start_keys(buf: bytes, width: int) -> np.ndarray:
         h ^= words[8 * i : 8 * i + n] * _ODD[i]
         h = (h << np.uint64(23) | h >> np.uint64(41)) * _ODD[4]
     h ^= h >> np.uint64(32)
-    want, have = width - GRAM + 1, 1
+    grams, want, have = h, width - GRAM + 1, 1
     while have < want:
         step = min(have, want - have)
         h = np.minimum(h[:-step], h[step:])
         have += step
-    return h
+    return h, grams[: len(h)] == h
 
 
 def runs(texts: list[bytes], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(text index, start, length, key) of runs of starts with one key, for slices of the texts in bounded
-    memory. Equal strings have equal keys wherever they stand, and two equal strings lie in two runs."""
+    """(text index, start, length, key) of runs of starts whose first least gram is one and the same, for
+    slices of the texts in bounded memory. Equal strings have equal keys, and lie in different runs."""
     part: list[tuple[int, int, bytes]] = []
     held = 0
     for i, t in enumerate(texts):
@@ -60,7 +60,7 @@ def runs(texts: list[bytes], width: int) -> Iterator[tuple[np.ndarray, np.ndarra
 
 
 def _runs(part: list[tuple[int, int, bytes]], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    keys = start_keys(b"".join(p[2] for p in part), width)
+    keys, leaves = start_keys(b"".join(p[2] for p in part), width)
     sizes = np.array([len(p[2]) for p in part])
     begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     step = np.zeros(len(keys) + width, np.int32)
@@ -68,16 +68,11 @@ def _runs(part: list[tuple[int, int, bytes]], width: int) -> tuple[np.ndarray, n
     np.add.at(step, begin + sizes - width + 1, -1)
     valid = np.cumsum(step[: len(keys)]) > 0
     brk = np.ones(len(keys), bool)
-    brk[1:] = (keys[1:] != keys[:-1]) | (valid[1:] != valid[:-1])
+    brk[1:] = (keys[1:] != keys[:-1]) | leaves[:-1] | (valid[1:] != valid[:-1])
     brk[begin] = True
     at = np.flatnonzero(brk)
     n = np.diff(np.append(at, len(keys)))
     at, n = at[valid[at]], n[valid[at]]
-    # one gram is least for so many starts at most: a longer run repeats it, and is cut to show that
-    most = width - GRAM + 1
-    cuts = -(-n // most)
-    nth = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
-    at, n = np.repeat(at, cuts) + nth * most, np.minimum(np.repeat(n, cuts) - nth * most, most)
     own = np.searchsorted(begin, at, side="right") - 1
     return np.array([p[0] for p in part])[own], at - begin[own] + np.array([p[1] for p in part])[own], n, keys[at]
 
