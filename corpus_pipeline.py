@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from terraloom.llm import line_dedup, packing, quality, simhash, surrogates
 from terraloom.llm.registry import SURROGATE_KEY
-from terraloom.llm.scratch import materialise
+from terraloom.scratch import materialise
 
 
 def _recounted(docs: DataFrame) -> DataFrame:

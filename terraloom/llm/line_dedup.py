@@ -10,6 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import materialise
+
 _NONE = 0x7FFFFFFFFFFFFFFF
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -60,14 +62,14 @@ def repeated_chunks(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
             cols = list(zip(*rows)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()))], ["doc", "hash", "k", "h1", "h2"])
 
-    found = base.select("doc", "hash", "text").mapInArrow(hashes, "doc long, hash long, k int, h1 long, h2 long")
+    found = materialise(base.select("doc", "hash", "text").mapInArrow(hashes, "doc long, hash long, k int, h1 long, h2 long"))
     many = found.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2")
     told = found.join(many, ["h1", "h2"]).groupBy("doc").agg(F.collect_list(F.struct("hash", "k")).alias("ks"))
 
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, hsh, t, ks in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 4))):
+            for doc, hsh, t, ks in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 mine = {x["k"] for x in ks or () if x["hash"] == hsh}
                 if mine:
                     lines, spans, _ = chunks_of(t.encode("utf-8", "surrogatepass"), min_lines)
@@ -75,12 +77,14 @@ def repeated_chunks(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
             cols = list(zip(*rows)) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))], ["doc", "hash", "k", "body"])
 
-    some = base.join(told, "doc", "left").select("doc", "hash", "text", "row", "ks").mapInArrow(bodies, "doc long, hash long, k int, body binary")
+    some = base.select("doc", "hash", "text").join(told, "doc").select("doc", "hash", "text", "ks").mapInArrow(bodies, "doc long, hash long, k int, body binary")
+    some = materialise(some)
     first = some.groupBy("body").agg(F.min(F.struct("doc", "k")).alias("first"), F.count("*").alias("c")).where("c > 1").select("body", "first")
     late = some.join(first, "body").where(F.struct("doc", "k") > F.col("first")).groupBy("doc").agg(F.collect_set(F.struct("hash", "k")).alias("gone"))
     out = base.join(late, "doc", "left").select("doc", "hash", "text", "row", "gone")
     mine = F.transform(F.filter("gone", lambda x: x["hash"] == F.col("hash")), lambda x: x["k"])
-    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], F.array_sort(F.coalesce(mine, F.array().cast("array<int>"))).alias("__removed"))
+    out = out.select("row", F.array_sort(F.coalesce(mine, F.array().cast("array<int>"))).alias("__removed"))
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], "__removed")
 
 
 def without(text: str | None, removed: list[int]) -> tuple[str, int]:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import materialise, shuffle_width
+from ..scratch import materialise, shuffle_width
 from .vocab import PieceCache, chunks, cuts_at_spaces, library, library_ids, merge_ranks, special_strings
 
 #: The split of byte-level pre-tokens that tokenizers files with use_regex imply.

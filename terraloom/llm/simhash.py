@@ -11,8 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import connected_components
-from .scratch import materialise
+from ..operators.components import connected_components
+from ..scratch import materialise
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _ONE_BALL = np.concatenate([np.zeros(1, np.uint64), np.uint64(1) << np.arange(64, dtype=np.uint64)])

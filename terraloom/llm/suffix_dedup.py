@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .induced_sort import sorted_suffixes
-from .scratch import shuffle_width
+from ..scratch import materialise, shuffle_width
 
 GRAM, SLICE = 32, 1 << 22
 #: Keys and bytes that a task gathers before it sends them on.
@@ -305,9 +305,9 @@ def repeated_spans(docs: DataFrame, width: int = 100, text_col: str = "text", id
     names = docs.columns
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NONE)).alias("doc"), F.xxhash64(_text_bytes(text_col)).alias("hash"), _text_bytes(text_col).alias("body"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
     light = base.select("doc", "hash", "body")
-    whole = light.select("doc", "hash", F.sha2("body", 256).alias("sha"), F.octet_length("body").alias("n")).where(F.col("n") >= width)
+    whole = materialise(light.select("doc", "hash", F.sha2("body", 256).alias("sha"), F.octet_length("body").alias("n")).where(F.col("n") >= width))
     head = whole.groupBy("sha").agg(F.min("doc").alias("head"), F.count("*").alias("c")).where("c > 1").select("sha", "head")
-    copies = whole.join(head, "sha").where("doc > head").groupBy("doc").agg(F.collect_set("hash").alias("copies"))
+    copies = materialise(whole.join(head, "sha").where("doc > head").groupBy("doc").agg(F.collect_set("hash").alias("copies")))
     rows = light.mapInArrow(_key_rows(width, width_n), "part int, kind int, body binary")
     keys = rows.repartition(width_n, "part").mapInArrow(_repeated, "doc long, keys binary")
     told = keys.withColumn("copy", F.lit(None).cast("array<long>")).unionByName(copies.select("doc", F.lit(None).cast("binary").alias("keys"), F.col("copies").alias("copy")))

@@ -1,0 +1,390 @@
+import hashlib
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import pandas as pd
+import public_tokenizers as P
+import pytest
+import tiktoken
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from terraloom.llm import bpe, chat, induced_sort, line_dedup, packing, quality, registry, simhash, suffix_dedup, surrogates, token_count, topk, vocab
+
+JSON, MULTI = P.path("byte_bpe_50k.json"), P.path("byte_bpe_multi_50k.tiktoken")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+rnd = random.Random(11)
+BASE = " ".join(rnd.choice("alpha beta gamma delta of the and river stone light echo".split()) + str(rnd.randint(0, 99)) for _ in range(400))
+ODD = ["", None, " ", "\n\n", "one", "two words", "a  b\n\n c\t", "日本語 テキスト 😀", "x" * 5000, "ab " * 3000, "tag <|endoftext|> here", "l1\nl2\nl3\nl4\nl5\nl6"]
+
+
+def corpus():
+    """Odd texts, exact and near copies, shared passages, repeated rows and null ids."""
+    texts = [*ODD, BASE, BASE, BASE.replace("river", "rivers", 1), BASE[500:] + " more", "lead " + BASE[:700], "\n".join(BASE[i : i + 40] for i in range(0, 1200, 40)), "intro\n" + "\n".join(BASE[i : i + 40] for i in range(0, 1200, 40)) + "\nend"]
+    rows = [(k, t, "en", "s", len(t or "")) for k, t in enumerate(texts)]
+    return rows + [rows[12], (None, BASE, None, None, None), (None, None, None, None, None), (4, "clash " + BASE[:900], "en", "s", 1)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(corpus(), SCHEMA).withColumns({"doc": F.lit(1), "row": F.lit("r"), "hash": F.lit(2), "text_hash": F.lit(3), "rank": F.lit(4)})
+
+
+@pytest.fixture(scope="module")
+def empty(docs):
+    return docs.limit(0)
+
+
+def counted(rows):
+    out = {}
+    for r in rows:
+        out[r] = out.get(r, 0) + 1
+    return out
+
+
+def plain_fingerprint(t):
+    w = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "").encode().split()
+    if not w:
+        return 0
+    hs = [xxhash.xxh64_intdigest(s, 42) for s in ([b" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or [b" ".join(w)])]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hs) * 2 > len(hs))
+
+
+def test_simhash(docs, empty):
+    rows = [(r[0], plain_fingerprint(r[1])) for r in corpus()]
+    comp = {f: f for _, f in rows}
+
+    def find(x):
+        while comp[x] != x:
+            x = comp[x]
+        return x
+
+    for a in comp:
+        for b in comp:
+            if (a ^ b).bit_count() <= 2:
+                comp[find(a)] = find(b)
+    low = {}
+    for i, f in rows:
+        if i is not None:
+            low[find(f)] = min(i, low.get(find(f), i))
+    want = counted((i, f"{f:016x}", None if i is None else low[find(f)]) for i, f in rows)
+    assert counted(tuple(r) for r in simhash.near_duplicates(docs).collect()) == want
+    assert simhash.near_duplicates(empty).count() == 0
+
+
+def test_vantage_tree_links_all_close_pairs(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    near = np.concatenate([centres, *[centres[:200] ^ (np.uint64(1) << rng.integers(0, 64, 200, dtype=np.uint64)) for _ in range(4)]])
+    near = np.unique(np.concatenate([near, near[:300] ^ np.uint64(5)]))
+    df = spark.createDataFrame([(int(x),) for x in near.view(np.int64)], "fp long")
+    edges = [(np.array([r["a"]]).view(np.uint64)[0], np.array([r["b"]]).view(np.uint64)[0]) for r in simhash.link(df, 2, shard_rows=100).collect()]
+
+    def classes(pairs):
+        up = {int(x): int(x) for x in near}
+
+        def find(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for a, b in pairs:
+            up[find(int(a))] = find(int(b))
+        groups = {}
+        for x in up:
+            groups.setdefault(find(x), set()).add(x)
+        return sorted(map(sorted, groups.values()))
+
+    want = [(a, b) for i, a in enumerate(near) for b in near[np.flatnonzero(np.bitwise_count(near ^ a) <= 2)]]
+    assert classes(edges) == classes(want)
+
+
+def test_dense_clusters_take_the_linear_way():
+    rng = np.random.default_rng(6)
+    x = np.unique(rng.integers(0, 1 << 13, 6000, dtype=np.uint64))
+    a, b = simhash._forest(*simhash._ball_links(x))
+    assert len(a) == len(x) - 1 and set(b) == {x[0]}
+
+
+def plain_repeats(rows, width):
+    """Removed bytes by definition; rows of one id are one document, null ids come last."""
+    first = {}
+    key = lambda i: (1 << 63) - 1 if i is None else i
+    for i, t in rows:
+        b = (t or "").encode()
+        for s in range(len(b) - width + 1):
+            g = b[s : s + width]
+            first[g] = min(first.get(g, (key(i), s)), (key(i), s))
+    out = []
+    for i, t in rows:
+        b = (t or "").encode()
+        gone = np.zeros(len(b) + 1, bool)
+        for s in range(len(b) - width + 1):
+            if first[b[s : s + width]] != (key(i), s):
+                gone[s : s + width] = True
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
+        out.append((i, len(b), int(gone[: len(b)].sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def test_suffix_dedup(docs, empty):
+    want = counted(plain_repeats([(r[0], r[1]) for r in corpus()], 100))
+    assert counted(tuple(r) for r in suffix_dedup.digest(docs).collect()) == want
+    assert suffix_dedup.digest(empty).count() == 0
+    assert suffix_dedup.remove_repeats(docs).columns == docs.columns
+
+
+@pytest.mark.parametrize("alphabet", [b"a", b"ab", bytes(range(256))])
+@pytest.mark.parametrize("memory", [64, 1 << 28])
+def test_induced_order(alphabet, memory):
+    r = random.Random(len(alphabet))
+    for _ in range(60):
+        ps = [bytes(r.choice(alphabet) for _ in range(r.randint(1, 60))) for _ in range(r.randint(1, 5))]
+        ps += [ps[0], ps[0][2:] + b"z"]
+        suffixes, at = {}, 0
+        for p in ps:
+            suffixes |= {at + i: p[i:] for i in range(len(p))}
+            at += len(p) + 1
+        got = [x for a, l, _ in induced_sort.sorted_suffixes(ps, 10, memory) for x in zip(a.tolist(), l.tolist())]
+        assert sorted(a for a, _ in got) == sorted(suffixes)
+        for (a, _), (b, lcp) in zip(got, got[1:]):
+            x, y = suffixes[a], suffixes[b]
+            k = next((i for i in range(min(len(x), len(y))) if x[i] != y[i]), min(len(x), len(y)))
+            assert x[:10] >= y[:10] and lcp == min(k, 10)
+
+
+def test_line_dedup(docs, empty):
+    key = lambda i: (1 << 63) - 1 if i is None else i
+    found = []
+    for n, (i, t, *_) in enumerate(corpus()):
+        lines, spans, ok = line_dedup.chunks_of((t or "").encode())
+        found += [(n, k, b"\n".join(lines[a:b]), key(i)) for k, ((a, b), g) in enumerate(zip(spans, ok)) if g]
+    first = {}
+    for n, k, body, i in found:
+        first[body] = min(first.get(body, (i, k)), (i, k))
+    gone = {}
+    for n, k, body, i in found:
+        if (i, k) > first[body]:
+            gone.setdefault(n, []).append(k)
+    want = counted((r[0], line_dedup.without(r[1], gone[n])[0] if n in gone else r[1]) for n, r in enumerate(corpus()))
+    assert gone
+    out = line_dedup.dedup_lines(docs)
+    assert out.columns == docs.columns
+    assert counted((r["doc_id"], r["text"]) for r in out.collect()) == want
+    assert line_dedup.dedup_lines(empty).count() == 0
+
+
+def test_line_chunks_resist_shifts():
+    lines = [f"line {k * k}".encode() for k in range(60)]
+    a = {tuple(lines[x:y]) for x, y in line_dedup.chunk_spans(lines)}
+    b = [b"new", b"lines", b"here", *lines]
+    b = {tuple(b[x:y]) for x, y in line_dedup.chunk_spans(b)}
+    assert len(a - b) <= 1 and all(len(c) >= 2 for c in list(a)[:-1])
+
+
+def test_chat(spark):
+    s = spark.createDataFrame([("sum", ["a"], {"a": "integer", "b": "number", "c": "array"})], "name string, required array<string>, types map<string,string>")
+    calls = spark.createDataFrame([
+        (1, 1, "x", "sum", '{"b":1.50,"a":2}', None), (1, 3, "y", "sum", '{"c":[1, 2],"a":"2"}', "x"), (1, 5, "z", "sum", "{", "y"),
+        (2, 1, "d", "sum", '{"a":1}', None), (2, 2, "d", "sum", '{"q":null}', None), (3, 1, None, "nope", "{}", None),
+        (4, 1, "c1", "sum", '{"a":1}', "c2"), (4, 2, "c2", "sum", "[1]", "c1"), (5, 1, "n", "sum", None, "gone"),
+    ], "conv_id long, turn long, call_id string, name string, arguments string, parent string")
+    results = spark.createDataFrame([(1, 2, "x", "3"), (1, 4, "y", 'q"\n'), (9, 9, "lost", None), (2, 3, None, "?")], "conv_id long, turn long, call_id string, content string")
+    got = {(r["conv_id"], r["turn"]): r for r in chat.link_tool_calls(calls, results, s).collect()}
+    assert got[1, 1]["json"] == '{"arguments":{"a":2,"b":1.5},"id":"x","name":"sum","type":"call"}' and got[1, 1]["linked"]
+    assert got[1, 3]["problems"] == ["type:a"] and got[1, 3]["level"] == 2 and got[1, 4]["level"] == 3 and got[1, 5]["level"] == 4
+    assert got[1, 5]["problems"] == ["not json"] and '"arguments":null' in got[1, 5]["json"] and not got[1, 5]["linked"]
+    assert got[1, 4]["json"] == '{"content":"q\\"\\n","id":"y","type":"result"}'
+    assert got[2, 2]["problems"] == ["missing:a", "unknown:q", "duplicate id"] and got[2, 1]["problems"] == ["duplicate id"]
+    assert got[3, 1]["problems"] == ["unknown tool"] and got[3, 1]["level"] is None
+    assert got[4, 1]["level"] is None and got[4, 2]["problems"] == ["not an object"] and got[5, 1]["level"] == 0
+    assert got[9, 9]["problems"] == ["no call"] and got[2, 3]["problems"] == ["no call"]
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string, name string")
+    assert chat.format_conversations(none).count() == 0
+
+
+def encoded(rows):
+    tok = Tokenizer.from_file(JSON)
+    return [(r[0], tok.encode(r[1] or "", add_special_tokens=False).ids) for r in rows]
+
+
+def test_packing(docs, empty):
+    rows = [(i, ids + [1]) for i, ids in encoded(corpus())]
+    for width in (64, 2048):
+        got = packing.pack(docs, JSON, width).collect()
+        assert sum(r["length"] for r in got) == sum(len(x) for _, x in rows)
+        pieces, seqs = counted((i, tuple(x)) for i, x in rows), {}
+        whole = {}
+        for r in got:
+            assert zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] and len(r["ids"]) == r["length"]
+            assert any(i == r["doc_id"] and len(x) == r["doc_tokens"] and list(x[r["start"] : r["start"] + r["length"]]) == r["ids"] for i, x in pieces)
+            seqs.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+            whole[r["doc_id"], r["doc_tokens"]] = whole.get((r["doc_id"], r["doc_tokens"]), 0) + r["length"]
+        want = {}
+        for i, x in rows:
+            want[i, len(x)] = want.get((i, len(x)), 0) + len(x)
+        assert whole == want
+        for parts in seqs.values():
+            at = 0
+            for o, n in sorted(parts):
+                assert o == at
+                at += n
+            assert at == width or at & (at - 1) == 0
+    assert packing.pack(empty, JSON).count() == 0
+
+
+def test_hilbert_neighbours_differ_by_one_step():
+    pts = np.array([(a, b, c) for a in range(8) for b in range(8) for c in range(8)])
+    order = np.argsort(packing.hilbert_keys(pts, 3))
+    assert (np.abs(np.diff(pts[order], axis=0)).sum(axis=1) == 1).all()
+
+
+def test_quality(docs, empty):
+    got = quality.quality(docs).drop("text_hash", "char_distance", "word_distance").toPandas()
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame([r[:3] for r in corpus()], columns=["doc_id", "text", "lang"]).astype({"doc_id": "Int64"}))
+    want = con.sql(quality.oracle()).df()
+    cols = sorted(want.columns)
+    got, want = (x[cols].astype(str).replace("<NA>", "nan").replace(r"\.0$", "", regex=True).sort_values(cols).reset_index(drop=True) for x in (got, want))
+    assert got.equals(want)
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns and kept.count() == (got["kept"] == "True").sum()
+    assert quality.quality(empty).count() == 0
+
+
+def test_quality_rejects_junk(spark):
+    rows = duckdb.sql("SELECT d.doc_id, text, lang, source, n_chars FROM '/root/testdata/sf0.1/documents.parquet' d WHERE d.doc_id < 2500").fetchall()
+    labels = dict(duckdb.sql("SELECT doc_id, quality FROM '/root/testdata/sf0.1/labels.parquet' WHERE doc_id < 2500").fetchall())
+    got = {r["doc_id"]: r for r in quality.quality(spark.createDataFrame(rows, SCHEMA)).where("NOT base_failed").collect()}
+    good = [got[i]["kept"] for i, q in labels.items() if q and i in got]
+    bad = [got[i]["kept"] for i, q in labels.items() if not q and i in got]
+    assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.3 * len(bad)
+
+
+def odd_texts(n=1500):
+    r = random.Random(2)
+    return [t for t in ODD if t] + ["".join(r.choice(" \n\tab'lsé123.,!日😀 \x1f\x85　\rthe" if k % 2 else " \nab's.,2²é") for _ in range(r.randint(0, 40))) for k in range(n)]
+
+
+def test_byte_bpe(docs, empty):
+    ranks = vocab.load_ranks(MULTI)
+    lib = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    enc = bpe.TextEncoder(ranks, P.PATTERN)
+    for t in odd_texts():
+        want = lib.encode_ordinary(t)
+        assert enc.both(t) == (",".join(map(str, want)).encode(), t.encode())
+        assert enc.ids(t) == want
+    want = []
+    for i, t, *_ in corpus():
+        ids = lib.encode_ordinary(t or "")
+        want.append((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
+    assert counted(tuple(r) for r in bpe.round_trip(docs, MULTI, P.PATTERN).collect()) == counted(want)
+    back = bpe.decode_documents(bpe.encode_documents(docs, MULTI, P.PATTERN), MULTI, P.PATTERN)
+    assert counted((r[0], bytes(r[1])) for r in back.collect()) == counted((r[0], (r[1] or "").encode()) for r in corpus())
+    assert bpe.round_trip(empty, MULTI, P.PATTERN).count() == 0
+
+
+def test_bpe_on_random_bytes():
+    ranks = vocab.load_ranks(MULTI)
+    lib = tiktoken.Encoding("t", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+    own, r = bpe.BytePairEncoder(ranks), random.Random(8)
+    for k in range(800):
+        s = "".join(r.choice("aeionrst ht" if k % 2 else "abcdefghijkl éü.,") for _ in range(r.randint(1, 60)))
+        assert own.encode(s.encode()) == lib.encode_ordinary(s)
+
+
+def test_surrogates(docs, empty):
+    s = surrogates.Surrogates(b"k")
+    text = "Mail ann.lee@mail.example.org or ANN.LEE@MAIL.EXAMPLE.ORG, IP 10.20.30.40, card 4111 1111 1111 1111, call +49 (171) 555-2748, token = \"24be64439e3e49cf46b2d7c90f3602a3d0b907ff\", Mrs Emma Weber met Mr Karl Weber."
+    new, spans = s.replace(text)
+    assert [x["kind"] for x in spans] == ["email", "email", "ip", "card", "phone", "secret", "name", "name"]
+    got = [new[x["start"] : x["end"]] for x in spans]
+    assert got[0].upper() == got[1] and got[0] != "ann.lee@mail.example.org"
+    digits = got[3].replace(" ", "")
+    assert got[3][4] == got[3][9] == " " and surrogates.luhn(digits[:-1]) == int(digits[-1]) and digits[0] == "4"
+    assert got[4].startswith("+49 (") and len(got[4]) == len("+49 (171) 555-2748")
+    assert len(got[5]) == 40 and set(got[5]) <= set("0123456789abcdef")
+    assert got[6].split()[0] in surrogates.GIVEN["f"] and got[7].split()[0] in surrogates.GIVEN["m"] and got[6].split()[1] == got[7].split()[1]
+    for x in ("ann.lee", "10.20.30.40", "4111", "Emma", "Karl Weber"):
+        assert x not in new
+    assert s.replace(text) == (new, spans) and surrogates.Surrogates(b"other").replace(text)[0] != new
+    for clean in ("Version 2.0.", "in 1999 and 2001", "a = b", "3.14 5/6", None, ""):
+        assert s.replace(clean) == (clean, [])
+    p = surrogates.Permuter(b"x")
+    for n in (2, 3, 10, 1000):
+        moved = [p.move(b"t", n, i) for i in range(n)]
+        assert sorted(moved) == list(range(n)) and all(a != b for a, b in enumerate(moved))
+    names = [s.of("name", f"m:{g} Weber") for g in surrogates.GIVEN["m"]]
+    assert len(set(names)) == len(names)
+    out = surrogates.pseudonymise(docs, b"k")
+    assert out.drop("__entities").columns == docs.columns and out.count() == len(corpus())
+    assert surrogates.collisions(surrogates.entities(docs, b"k")).count() == 0
+    assert surrogates.pseudonymise(empty, b"k").count() == 0
+
+
+def test_top_k(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, v.tolist()) for k, v in enumerate(rng.normal(0, 0.2, (700, 16)).astype(np.float32))]
+    rows += [(700 + k, rows[5][1]) for k in range(50)]  # ties
+    rows += [(900, None), (950, [None] * 16), (1000, [float("nan")] * 16), (1050, [float("inf")] * 16), (None, rows[0][1]), (3, rows[3][1]), (1100, [0.5] * 4), (1150, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({"id": F.lit(1), "part": F.lit(2), "score": F.lit(3)})
+    ok = [(i, np.floor(256 * np.array(v, np.float64)).astype(int)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    want = []
+    for q, a in ok:
+        if q % 50 == 0:
+            s = sorted((-int((a[: len(b)] * b[: len(a)]).sum()), i) for i, b in ok if i != q)[:5]
+            want += [(q, r + 1, i, -x) for r, (x, i) in enumerate(s)]
+    for size in (100, 16384):
+        assert sorted(tuple(r) for r in topk.top_k(df, shard_rows=size).collect()) == sorted(want)
+    assert topk.top_k(df.limit(0)).count() == 0
+    one = df.where("vec_id = 50")
+    assert topk.top_k(one).count() == 0
+
+
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_token_counts(spark, docs, empty, file):
+    path = P.path(file)
+    rows = corpus() + [(1000 + k, t, "", "", 0) for k, t in enumerate(odd_texts(200))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    n = [len(x) for x in vocab.library_ids(path, [r[1] or "" for r in rows])]
+    want = counted((r[0], len((r[1] or "").encode()), k, k > 512) for r, k in zip(rows, n))
+    assert counted(tuple(r) for r in token_count.count_tokens(df, path).collect()) == want
+    assert token_count.count_tokens(empty, path).count() == 0
+
+
+def test_registered_twins(spark):
+    sf = "/root/testdata/sf0.001"
+    for t in ("documents", "conversations", "embeddings"):
+        duckdb.sql(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    for name, sql in registry.oracle_sql().items():
+        got, want = registry.queries()[name](spark, sf).toPandas(), duckdb.sql(sql).df()
+        cols = sorted(want.columns)
+        got, want = (x[cols].astype(str).sort_values(cols).reset_index(drop=True) for x in (got, want))
+        assert got.equals(want), name
+
+
+def test_pipeline_stages(spark):
+    """Each stage against its operator's rule on its own input; run() equals the stages in a row."""
+    sf = "/root/testdata/sf0.001"
+    d = spark.read.parquet(f"{sf}/documents.parquet")
+    good = corpus_pipeline.quality_rules(spark, d, sf).cache()
+    kept = {r["doc_id"] for r in quality.quality(d).where("kept").collect()}
+    assert {r["doc_id"] for r in good.collect()} == kept and good.columns == d.columns
+    lines = corpus_pipeline.line_chunks(spark, good, sf).cache()
+    assert lines.columns == d.columns and lines.count() == good.count() and lines.where("n_chars <> length(text)").count() == 0
+    near = corpus_pipeline.near_duplicates(spark, lines, sf).cache()
+    groups = {r["component_id"] for r in simhash.near_duplicates(lines).collect()}
+    assert sorted(r["doc_id"] for r in near.collect()) == sorted(groups)
+    safe = corpus_pipeline.personal_data(spark, near, sf).cache()
+    s = surrogates.Surrogates(registry.SURROGATE_KEY)
+    texts = {r["doc_id"]: r["text"] for r in near.collect()}
+    assert {r["doc_id"]: r["text"] for r in safe.collect()} == {i: s.replace(t)[0] for i, t in texts.items()}
+    packed = counted((r["doc_id"], r["doc_tokens"]) for r in corpus_pipeline.pack(spark, safe, sf).where("start = 0").collect())
+    assert packed == counted((i, len(x) + 1) for i, x in encoded([(r["doc_id"], r["text"]) for r in safe.collect()]))
+    ran = corpus_pipeline.run(spark, sf).where("start = 0").collect()
+    assert counted((r["doc_id"], r["doc_tokens"]) for r in ran) == packed
