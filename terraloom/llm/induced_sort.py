@@ -52,7 +52,8 @@ class BucketQueues:
                     continue
             if not self.parts[c]:
                 break
-            x = self.parts[c].pop(0)
+            x = np.concatenate(self.parts[c])
+            self.parts[c] = []
             self.held -= x.nbytes
             yield x
 
@@ -68,7 +69,8 @@ class BucketQueues:
                 yield np.frombuffer(self.files[c].read(min(BLOCK, n - s) * _ENTRY.itemsize), _ENTRY)
         if not backwards:
             yield from filed()
-        yield from reversed(self.parts[c]) if backwards else self.parts[c]
+        if self.parts[c]:
+            yield np.concatenate(self.parts[c])
         if backwards:
             yield from filed()
 

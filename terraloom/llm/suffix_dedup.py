@@ -21,7 +21,9 @@ from ..scratch import materialise, shuffle_width
 
 GRAM, SLICE = 32, 1 << 22
 #: Keys and bytes that a task gathers before it sends them on.
-FLUSH_KEYS, FLUSH_BYTES = 1 << 22, 64 << 20
+FLUSH_KEYS, FLUSH_BYTES = 1 << 22, 32 << 20
+#: Bytes of differing segments at which a shard is sorted; one key's segments may be more.
+SHARD_BYTES = 2 << 20
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 _NONE = 0x7FFFFFFFFFFFFFFF
 
@@ -172,8 +174,8 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _segments(width: int, parts: int):
-    """Documents with their repeated keys -> (part, doc, hash, start, n, body): the text around runs of
-    starts. A task sends the first of equal texts under a key; later ones it settles itself (part -1)."""
+    """Documents with their repeated keys -> (part, key, doc, hash, start, n, body): the text around runs of
+    starts. A task sends the first of equal texts under a key; later ones it settles itself (negative n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first: dict[tuple[int, bytes], tuple] = {}
@@ -181,10 +183,11 @@ def _segments(width: int, parts: int):
         held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            rows = [(k % parts, *v, b) for (k, b), v in first.items()] + [(k % parts, d, h, s, -n, b"") for k, d, h, s, n in done]
+            signed = lambda k: k - (1 << 64) if k >> 63 else k
+            rows = [(k % parts, signed(k), *v, b) for (k, b), v in first.items()] + [(k % parts, signed(k), d, h, s, -n, b"") for k, d, h, s, n in done]
             for i in range(0, len(rows), 20_000):
                 cols = list(zip(*rows[i : i + 20_000]))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["part", "doc", "hash", "start", "n", "body"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["part", "key", "doc", "hash", "start", "n", "body"])
             first.clear()
             done.clear()
 
@@ -222,51 +225,91 @@ def _segments(width: int, parts: int):
     return run
 
 
+def _sorted_marks(pieces: list[bytes], info: np.ndarray, width: int, memory: int) -> np.ndarray:
+    """Runs (doc, hash, start, n) of starts in the pieces, rows (doc, hash, start, n) of info, whose string is that
+    of an earlier start, from the pieces' suffixes in order."""
+    doc, hsh, start, n = info
+    cls, parts = 0, []
+    for at, lcp, begin in sorted_suffixes(pieces, width, memory):
+        ids = cls + np.cumsum(lcp < width)
+        cls = int(ids[-1])
+        own = np.searchsorted(begin, at, side="right") - 1
+        off = at - begin[own]
+        ok = off < n[own]
+        parts.append((ids[ok], own[ok], off[ok]))
+    ids, own, off = (np.concatenate(x) for x in zip(*parts))
+    _, m = _groups(ids)
+    many = np.repeat(m > 1, m)
+    ids, own, off = ids[many], own[many], off[many]
+    late = _later(doc[own], start[own] + off, ids)
+    own, off = own[late], off[late]
+    order = np.lexsort((off, own))
+    own, off = own[order], off[order]
+    brk = np.ones(len(own), bool)
+    brk[1:] = (own[1:] != own[:-1]) | (off[1:] != off[:-1] + 1)
+    at = np.flatnonzero(brk)
+    return np.stack([doc[own[at]], hsh[own[at]], start[own[at]] + off[at], np.diff(np.append(at, len(own)))])
+
+
 def _marks(width: int, memory: int):
-    """All segments of some keys -> (doc, hash, marks): runs of starts whose string of width bytes starts earlier elsewhere."""
+    """Segments, in order of key -> (doc, hash, marks): runs of starts whose string of width bytes starts
+    earlier elsewhere. Of equal segments under a key all but the first are settled at once. Keys with different
+    segments are put together, up to a bound of bytes, in shards to sort; a key is never parted."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces: list[bytes] = []
-        info: list[tuple] = []
-        done: list[np.ndarray] = []
-        for batch in batches:
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, 5)]
-            settled = cols[3] < 0
-            done.append(np.stack([cols[0][settled], cols[1][settled], cols[2][settled], -cols[3][settled]]))
-            keep = ~settled
-            info.append(np.stack([c[keep] for c in cols]))
-            pieces += [b for b, k in zip(batch.column(5).to_pylist(), keep) if k]
-        found: list[np.ndarray] = []
-        if pieces:
-            doc, hsh, start, n = np.concatenate(info, axis=1)
-            cls, parts = 0, []
-            for at, lcp, begin in sorted_suffixes(pieces, width, memory):
-                new = lcp < width
-                ids = cls + np.cumsum(new)
-                cls = int(ids[-1])
-                own = np.searchsorted(begin, at, side="right") - 1
-                off = at - begin[own]
-                ok = off < n[own]
-                parts.append((ids[ok], own[ok], off[ok]))
-            ids, own, off = (np.concatenate(x) for x in zip(*parts))
-            at, m = _groups(ids)
-            many = np.repeat(m > 1, m)
-            ids, own, off = ids[many], own[many], off[many]
-            late = _later(doc[own], start[own] + off, ids)
-            own, off = own[late], off[late]
-            order = np.lexsort((off, own))
-            own, off = own[order], off[order]
-            brk = np.ones(len(own), bool)
-            brk[1:] = (own[1:] != own[:-1]) | (off[1:] != off[:-1] + 1)
-            at = np.flatnonzero(brk)
-            m = np.diff(np.append(at, len(own)))
-            found.append(np.stack([doc[own[at]], hsh[own[at]], start[own[at]] + off[at], m]) if len(at) else np.zeros((4, 0), np.int64))
-        rows = np.concatenate([*done, *found], axis=1) if done or found else np.zeros((4, 0), np.int64)
+    def told(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
         rows = rows[:, np.lexsort((rows[2], rows[1], rows[0]))]
         at, m = _groups(rows[0])
         for i in range(0, len(at), 10_000):
             yield pa.RecordBatch.from_arrays([pa.array(rows[0][at[i : i + 10_000]]), pa.array([rows[1:, a : a + k].tobytes() for a, k in zip(at[i : i + 10_000], m[i : i + 10_000])], pa.binary())], ["doc", "marks"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: int | None = None
+        first: dict[bytes, tuple] = {}
+        pieces: list[bytes] = []
+        info: list[tuple] = []
+        done: list[tuple] = []
+        held = 0
+
+        def close_key() -> None:
+            nonlocal held
+            if len(first) > 1:
+                pieces.extend(first)
+                info.extend(first.values())
+                held += sum(map(len, first))
+            first.clear()
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            rows = [np.array(done, np.int64).T] if done else []
+            if pieces:
+                rows.append(_sorted_marks(pieces, np.array(info, np.int64).T, width, memory))
+            if rows:
+                yield from told(np.concatenate(rows, axis=1))
+            for x in (pieces, info, done):
+                x.clear()
+            held = 0
+
+        for batch in batches:
+            for key, doc, hsh, start, n, body in zip(*(batch.column(i).to_pylist() for i in range(1, 7))):
+                if key != now:
+                    close_key()
+                    now = key
+                    if held >= SHARD_BYTES or len(done) >= 1 << 18:
+                        yield from flush()
+                if n < 0:
+                    done.append((doc, hsh, start, -n))
+                    continue
+                mine = (doc, hsh, start, n)
+                known = first.setdefault(body, mine)
+                if known is not mine:
+                    if (doc, start) < (known[0], known[2]):
+                        first[body] = mine
+                        done.append(known)
+                    elif (doc, start) > (known[0], known[2]):
+                        done.append(mine)
+        close_key()
+        yield from flush()
+
     return run
 
 
@@ -293,7 +336,7 @@ def _text_bytes(col: str) -> Column:
     return F.encode(F.coalesce(F.col(col).cast("string"), F.lit("")), "UTF-8")
 
 
-def repeated_spans(docs: DataFrame, width: int = 100, text_col: str = "text", id_col: str = "doc_id", memory: int = 256 << 20) -> DataFrame:
+def repeated_spans(docs: DataFrame, width: int = 100, text_col: str = "text", id_col: str = "doc_id", memory: int = 64 << 20) -> DataFrame:
     """docs plus `body` (binary, the whole text; null text: empty) and `spans` (array of structs of
     long: lo, hi), the maximal runs of bytes covered by strings of width bytes that also start earlier.
 
@@ -313,8 +356,8 @@ def repeated_spans(docs: DataFrame, width: int = 100, text_col: str = "text", id
     told = keys.withColumn("copy", F.lit(None).cast("array<long>")).unionByName(copies.select("doc", F.lit(None).cast("binary").alias("keys"), F.col("copies").alias("copy")))
     told = told.groupBy("doc").agg(F.collect_list("keys").alias("keys"), F.flatten(F.collect_list("copy")).alias("copies"))
     text = base.select("doc", "hash", "body", "row")
-    segments = text.join(told, "doc", "left").select("doc", "hash", "body", "keys", "copies", "row").mapInArrow(_segments(width, width_n), "part int, doc long, hash long, start long, n long, body binary")
-    marks = segments.repartition(width_n, "part").mapInArrow(_marks(width, memory), "doc long, marks binary")
+    segments = text.join(told, "doc", "left").select("doc", "hash", "body", "keys", "copies", "row").mapInArrow(_segments(width, width_n), "part int, key long, doc long, hash long, start long, n long, body binary")
+    marks = segments.repartition(width_n, "part").sortWithinPartitions("key").mapInArrow(_marks(width, memory), "doc long, marks binary")
     marks = marks.withColumn("copy", F.lit(None).cast("array<long>")).unionByName(copies.select("doc", F.lit(None).cast("binary").alias("marks"), F.col("copies").alias("copy")))
     marks = marks.groupBy("doc").agg(F.collect_list("marks").alias("marks"), F.flatten(F.collect_list("copy")).alias("copies"))
 
