@@ -12,6 +12,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,11 +20,11 @@ from pyspark.sql import functions as F
 from .induced_sort import sorted_suffixes
 from ..scratch import materialise, shuffle_width
 
-GRAM, SLICE = 32, 1 << 22
+GRAM, SLICE, ROWS = 32, 1 << 20, 512
 #: Keys and bytes that a task gathers before it sends them on.
-FLUSH_KEYS, FLUSH_BYTES = 1 << 22, 32 << 20
+FLUSH_KEYS, FLUSH_BYTES = 1 << 21, 16 << 20
 #: Bytes of differing segments at which a shard is sorted; one key's segments may be more.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 _NONE = 0x7FFFFFFFFFFFFFFF
 
@@ -79,6 +80,13 @@ def _runs(part: list[tuple[int, int, bytes]], width: int) -> tuple[np.ndarray, n
     return np.array([p[0] for p in part])[own], at - begin[own] + np.array([p[1] for p in part])[own], n, keys[at]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a few rows, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for i in range(0, len(batch), ROWS):
+            yield batch.slice(i, ROWS)
+
+
 def _blob(*arrays: np.ndarray) -> bytes:
     raw = b"".join(np.ascontiguousarray(a, "<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays)
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
@@ -132,7 +140,7 @@ def _key_rows(width: int, parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, docs, held = [], [], 0
-        for batch in batches:
+        for batch in _slices(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for own, _, _, key in runs([x or b"" for x in batch.column(2).to_pylist()], width):
                 keys.append(key.view(np.int64))
@@ -191,7 +199,7 @@ def _segments(width: int, parts: int):
             first.clear()
             done.clear()
 
-        for batch in batches:
+        for batch in _slices(batches):
             docs, hashes, texts, keys, copies = (batch.column(i).to_pylist() for i in range(5))
             live = [i for i in range(len(docs)) if keys[i] and texts[i] and hashes[i] not in (copies[i] or ())]
             wanted = {i: np.unique(np.frombuffer(b"".join(k for k in keys[i] if k), "<u8")) for i in live}
@@ -333,11 +341,11 @@ def _grouped(df: DataFrame, col: str) -> DataFrame:
 
 
 def _text_bytes(col: str) -> Column:
-    return F.encode(F.coalesce(F.col(col).cast("string"), F.lit("")), "UTF-8")
+    return F.encode(F.col(col).cast("string"), "UTF-8")
 
 
 def repeated_spans(docs: DataFrame, width: int = 100, text_col: str = "text", id_col: str = "doc_id", memory: int = 64 << 20) -> DataFrame:
-    """docs plus `body` (binary, the whole text; null text: empty) and `spans` (array of structs of
+    """docs plus `__body` (binary, the whole text) and `__spans` (array of structs of
     long: lo, hi), the maximal runs of bytes covered by strings of width bytes that also start earlier.
 
     Earlier: in a smaller id, or in the same id at a smaller start. Rows with one id count as one
@@ -346,7 +354,7 @@ def repeated_spans(docs: DataFrame, width: int = 100, text_col: str = "text", id
     """
     width_n = shuffle_width(docs.sparkSession)
     names = docs.columns
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NONE)).alias("doc"), F.xxhash64(_text_bytes(text_col)).alias("hash"), _text_bytes(text_col).alias("body"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NONE)).alias("doc"), F.xxhash64(_text_bytes(text_col)).alias("hash"), _text_bytes(text_col).alias("body"), F.struct(F.lit(0).alias("__"), *[F.col(f"`{c}`") for c in names if c != text_col]).alias("row"))
     light = base.select("doc", "hash", "body")
     whole = materialise(light.select("doc", "hash", F.sha2("body", 256).alias("sha"), F.octet_length("body").alias("n")).where(F.col("n") >= width))
     head = whole.groupBy("sha").agg(F.min("doc").alias("head"), F.count("*").alias("c")).where("c > 1").select("sha", "head")
@@ -363,26 +371,27 @@ def repeated_spans(docs: DataFrame, width: int = 100, text_col: str = "text", id
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
-        for batch in batches:
+        for batch in _slices(batches):
             out = []
             for hsh, body, mark, copy in zip(*(batch.column(i).to_pylist() for i in (1, 2, 4, 5))):
-                found = [(0, len(body))] if hsh in (copy or ()) else removed_spans(mark or [], hsh, width)
+                found = [(0, len(body or b""))] if hsh in (copy or ()) else removed_spans(mark or [], hsh, width)
                 out.append([{"lo": a, "hi": b} for a, b in found])
             yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(2), pa.array(out, kind)], ["row", "body", "spans"])
 
     rowtype = text.schema["row"].dataType.simpleString()
     done = text.join(marks, "doc", "left").select("doc", "hash", "body", "row", "marks", "copies").mapInArrow(finish, f"row {rowtype}, body binary, spans array<struct<lo: bigint, hi: bigint>>")
-    return done.select(*[F.col("row").getField(c).alias(c) for c in names], F.col("body").alias("__body"), F.col("spans").alias("__spans"))
+    text = F.decode("body", "UTF-8")
+    return done.select(*[text.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in names], F.col("body").alias("__body"), F.col("spans").alias("__spans"))
 
 
 def digest(docs: DataFrame, width: int = 100, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row of docs after removal."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for body, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                sha, at = hashlib.sha256(), 0
+                body, sha, at = body or b"", hashlib.sha256(), 0
                 for x in spans:
                     sha.update(body[at : x["lo"]])
                     at = x["hi"]
@@ -399,16 +408,14 @@ def remove_repeats(docs: DataFrame, width: int = 100, text_col: str = "text", id
     """docs with its repeated bytes cut out of the text; bytes that no longer form UTF-8 become U+FFFD."""
 
     @F.pandas_udf("string")
-    def kept(body, spans):
+    def kept(body: pd.Series, spans: pd.Series) -> pd.Series:
         out = []
         for b, s in zip(body, spans):
-            cut, at = [], 0
+            cut, at, b = [], 0, b or b""
             for x in s:
                 cut.append(b[at : x["lo"]])
                 at = x["hi"]
             out.append((b"".join(cut) + b[at:]).decode("utf-8", "replace"))
-        import pandas as pd
-
         return pd.Series(out)
 
     found = repeated_spans(docs, width, text_col, id_col)
