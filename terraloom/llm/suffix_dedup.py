@@ -155,30 +155,51 @@ def _key_rows(width: int, parts: int):
     return run
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All rows of some keys -> (doc, keys): each document with those of its keys that occur again."""
-    seen: list[list[np.ndarray]] = []
-
-    def told(doc: np.ndarray, key: np.ndarray) -> Iterator[pa.RecordBatch]:
-        order = np.argsort(doc, kind="stable")
-        doc, key = doc[order], key[order]
-        at, n = _groups(doc)
+def _packed(rows: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """rows (doc, ...) as a blob for each range of documents' ids modulo parts: (part, body)."""
+    part = rows[0] % parts
+    order = np.argsort(part, kind="stable")
+    at, n = _groups(part[order])
+    cells = [(int(part[order[a]]), _blob(*rows[:, order[a : a + k]])) for a, k in zip(at, n)]
+    if cells:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cells), (pa.int32(), pa.binary()))], ["part", "body"])
+
+
+def _by_document(width: int, name: str):
+    """All blobs of some documents -> (doc, name): one row for each document, the other arrays one after another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [np.stack(_arrays(b, width)) for batch in batches for b in batch.column(1).to_pylist()]
+        if not found:
+            return
+        rows = np.concatenate(found, axis=1)
+        found.clear()
+        rows = rows[:, np.argsort(rows[0], kind="stable")]
+        at, n = _groups(rows[0])
         for i in range(0, len(at), 10_000):
-            yield pa.RecordBatch.from_arrays([pa.array(doc[at[i : i + 10_000]]), pa.array([key[a : a + m].tobytes() for a, m in zip(at[i : i + 10_000], n[i : i + 10_000])], pa.binary())], ["doc", "keys"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows[0][at[i : i + 10_000]]), pa.array([rows[1:, a : a + k].tobytes() for a, k in zip(at[i : i + 10_000], n[i : i + 10_000])], pa.binary())], ["doc", name])
+
+    return run
 
-    for batch in batches:
-        for kind, body in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            doc, key = _arrays(body, 2)
-            if kind:
-                yield from told(doc, key)
-            else:
-                seen.append([doc, key])
-    if seen:
-        doc, key = (np.concatenate(x) for x in zip(*seen))
-        order = np.argsort(key, kind="stable")
-        at, n = _groups(key[order])
-        order = order[np.repeat(n > 1, n)]
-        yield from told(doc[order], key[order])
+
+def _repeated(parts: int):
+    """All rows of some keys -> documents with those of their keys that occur again, packed for their documents' parts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[np.ndarray] = []
+        told: list[np.ndarray] = []
+        for batch in batches:
+            for kind, body in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                (told if kind else seen).append(np.stack(_arrays(body, 2)))
+        if seen:
+            rows = np.concatenate(seen, axis=1)
+            rows = rows[:, np.argsort(rows[1], kind="stable")]
+            _, n = _groups(rows[1])
+            told.append(rows[:, np.repeat(n > 1, n)])
+        if told:
+            yield from _packed(np.concatenate(told, axis=1), parts)
+
+    return run
 
 
 def _segments(width: int, parts: int):
@@ -192,7 +213,7 @@ def _segments(width: int, parts: int):
 
         def flush() -> Iterator[pa.RecordBatch]:
             signed = lambda k: k - (1 << 64) if k >> 63 else k
-            rows = [(k % parts, signed(k), *v, b) for (k, b), v in first.items()] + [(k % parts, signed(k), d, h, s, -n, b"") for k, d, h, s, n in done]
+            rows = [(k % parts, signed(k), *v, b) for (k, b), v in first.items()] + [(d % parts, signed(k), d, h, s, -n, b"") for k, d, h, s, n in done]
             for i in range(0, len(rows), 20_000):
                 cols = list(zip(*rows[i : i + 20_000]))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["part", "key", "doc", "hash", "start", "n", "body"])
@@ -259,17 +280,11 @@ def _sorted_marks(pieces: list[bytes], info: np.ndarray, width: int, memory: int
     return np.stack([doc[own[at]], hsh[own[at]], start[own[at]] + off[at], np.diff(np.append(at, len(own)))])
 
 
-def _marks(width: int, memory: int):
-    """Segments, in order of key -> (doc, hash, marks): runs of starts whose string of width bytes starts
+def _marks(width: int, memory: int, parts: int):
+    """Segments, in order of key -> (doc, hash, start, n), packed for their documents' parts: runs of starts whose string of width bytes starts
     earlier elsewhere. Of equal segments under a key all but the first are settled at once. Keys with different
     segments are put together, up to a bound of bytes, in shards to sort; a key is never parted."""
 
-    def told(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        rows = rows[:, np.lexsort((rows[2], rows[1], rows[0]))]
-        at, m = _groups(rows[0])
-        for i in range(0, len(at), 10_000):
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0][at[i : i + 10_000]]), pa.array([rows[1:, a : a + k].tobytes() for a, k in zip(at[i : i + 10_000], m[i : i + 10_000])], pa.binary())], ["doc", "marks"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: int | None = None
         first: dict[bytes, tuple] = {}
@@ -292,7 +307,7 @@ def _marks(width: int, memory: int):
             if pieces:
                 rows.append(_sorted_marks(pieces, np.array(info, np.int64).T, width, memory))
             if rows:
-                yield from told(np.concatenate(rows, axis=1))
+                yield from _packed(np.concatenate(rows, axis=1), parts)
             for x in (pieces, info, done):
                 x.clear()
             held = 0
@@ -360,12 +375,14 @@ def repeated_spans(docs: DataFrame, width: int = 100, text_col: str = "text", id
     head = whole.groupBy("sha").agg(F.min("doc").alias("head"), F.count("*").alias("c")).where("c > 1").select("sha", "head")
     copies = materialise(whole.join(head, "sha").where("doc > head").groupBy("doc").agg(F.collect_set("hash").alias("copies")))
     rows = light.mapInArrow(_key_rows(width, width_n), "part int, kind int, body binary")
-    keys = rows.repartition(width_n, "part").mapInArrow(_repeated, "doc long, keys binary")
+    packed = "part int, body binary"
+    keys = rows.repartition(width_n, "part").mapInArrow(_repeated(width_n), packed).repartition(width_n, "part").mapInArrow(_by_document(2, "keys"), "doc long, keys binary")
     told = keys.withColumn("copy", F.lit(None).cast("array<long>")).unionByName(copies.select("doc", F.lit(None).cast("binary").alias("keys"), F.col("copies").alias("copy")))
     told = told.groupBy("doc").agg(F.collect_list("keys").alias("keys"), F.flatten(F.collect_list("copy")).alias("copies"))
     text = base.select("doc", "hash", "body", "row")
     segments = text.join(told, "doc", "left").select("doc", "hash", "body", "keys", "copies", "row").mapInArrow(_segments(width, width_n), "part int, key long, doc long, hash long, start long, n long, body binary")
-    marks = segments.repartition(width_n, "part").sortWithinPartitions("key").mapInArrow(_marks(width, memory), "doc long, marks binary")
+    marks = segments.repartition(width_n, "part").sortWithinPartitions("key").mapInArrow(_marks(width, memory, width_n), packed)
+    marks = marks.repartition(width_n, "part").mapInArrow(_by_document(4, "marks"), "doc long, marks binary")
     marks = marks.withColumn("copy", F.lit(None).cast("array<long>")).unionByName(copies.select("doc", F.lit(None).cast("binary").alias("marks"), F.col("copies").alias("copy")))
     marks = marks.groupBy("doc").agg(F.collect_list("marks").alias("marks"), F.flatten(F.collect_list("copy")).alias("copies"))
 
