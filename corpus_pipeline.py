@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraloom.llm import line_dedup, packing, quality, simhash, surrogates
+from terraloom.llm import line_dedup, packing, quality, similar, surrogates
 from terraloom.llm.registry import SURROGATE_KEY
 from terraloom.scratch import materialise
 
@@ -25,8 +25,8 @@ def line_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that with the smallest doc_id."""
-    return simhash.keep_representatives(docs)
+    """One document of each group of similarity 0.8 on five-word shingles stays, that with the smallest doc_id."""
+    return similar.keep_one_copy(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..scratch import materialise
 
@@ -109,7 +110,7 @@ def _clean(docs: DataFrame, text_col: str, id_col: str, min_lines: int) -> DataF
 
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     packed = found.select(row.alias("row"), F.col(text_col).cast("string").alias("t"), "__removed")
-    return packed.mapInArrow(run, f"row {packed.schema['row'].dataType.simpleString()}, new struct<text: string, lines: bigint>, removed array<int>")
+    return packed.mapInArrow(run, T.StructType([packed.schema["row"], *T.StructType.fromDDL("new struct<text: string, lines: bigint>, removed array<int>").fields]))
 
 
 def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_lines: int = 2) -> DataFrame:

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Titles by the gender they show, and given names by gender.
 TITLES = {"m": ("Mr", "Herr", "Monsieur", "Señor", "Sr"), "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra"), "n": ("Dr", "Prof")}
@@ -236,7 +237,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFra
             new = [dict(zip(("text", "entities"), held(key).replace(t))) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, kind)], ["row", "new"])
 
-    done = packed.mapInArrow(run, f"row {packed.schema['row'].dataType.simpleString()}, new struct<text: string, entities: array<struct<kind: string, start: bigint, end: bigint>>>")
+    done = packed.mapInArrow(run, T.StructType([packed.schema["row"], *T.StructType.fromDDL("new struct<text: string, entities: array<struct<kind: string, start: bigint, end: bigint>>>").fields]))
     return done.select(*[F.col("new.text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns], F.col("new.entities").alias("__entities"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from terraloom.llm import bpe, chat, induced_sort, line_dedup, packing, quality, registry, simhash, suffix_dedup, surrogates, token_count, topk, vocab
+from terraloom.llm import bpe, chat, induced_sort, line_dedup, packing, quality, registry, simhash, similar, suffix_dedup, surrogates, token_count, topk, vocab
 
 JSON, MULTI = P.path("byte_bpe_50k.json"), P.path("byte_bpe_multi_50k.tiktoken")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -76,6 +76,72 @@ def test_simhash(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def plain_shingles(t, k=5):
+    w = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "").encode().split()
+    return frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()
+
+
+def similar_groups(rows, similarity=0.8):
+    """(id, component) of each row by comparing all pairs of shingle sets, and fingerprints of five-word shingles."""
+    node, comp = {}, {}
+    for i, t in rows:
+        if i is not None:
+            s = plain_shingles(t)
+            node[s] = min(i, node.get(s, i))
+            comp[i] = i
+
+    def find(x):
+        while comp[x] != x:
+            x = comp[x]
+        return x
+
+    fps = {plain_shingles(t): int.from_bytes(simhash.fingerprint(t, 5), "big") for _, t in rows}
+    sets = sorted(node, key=node.get)
+    for n, a in enumerate(sets):
+        for b in sets[:n]:
+            if (a and b and 5 * len(a & b) >= 4 * len(a | b)) or (fps[a] ^ fps[b]).bit_count() <= 2:
+                x, y = sorted((find(node[a]), find(node[b])))
+                comp[y] = x
+    return counted((i, None if i is None else find(node[plain_shingles(t)])) for i, t in rows)
+
+
+def edited(rng, words, share):
+    return " ".join(rng.choice(words) if rng.random() < share else w for w in words)
+
+
+def test_similar_texts(spark, docs, empty):
+    """Against all pairs: odd texts, and near copies from 0.7 to 1 in groups that share passages."""
+    assert counted(tuple(r) for r in similar.near_copies(docs).collect()) == similar_groups([r[:2] for r in corpus()])
+    assert similar.near_copies(empty).count() == 0
+    assert similar.keep_one_copy(docs).columns == docs.columns
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(900)]
+    rows, passage = [], " ".join(rng.choices(vocabulary, k=60))
+    for group in range(12):
+        words = rng.choices(vocabulary, k=rng.choice((40, 150, 600)))
+        rows += [(len(rows) + k, edited(rng, words, rng.choice((0, 0.005, 0.015, 0.03))) + " " + passage * (group % 2)) for k in range(rng.choice((2, 5, 40)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert counted(tuple(r) for r in similar.near_copies(df).collect()) == similar_groups(rows)
+
+
+def test_large_buckets_are_dealt_over_blocks(spark, monkeypatch):
+    """A hot group that needs many blocks is still one component."""
+    monkeypatch.setattr(similar, "BLOCK_SHINGLES", 4000)
+    rng = random.Random(4)
+    words = [f"w{rng.randint(0, 500)}" for _ in range(200)]
+    rows = [(k, edited(rng, words, 0.005)) for k in range(300)]
+    got = similar.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert counted(tuple(r) for r in got) == similar_groups(rows)
+
+
+def test_odd_column_names(docs):
+    """Names that need quoting pass through the operators that carry whole rows."""
+    odd = docs.withColumns({"a b": F.lit(1), "c:d": F.lit("x"), "new": F.lit(2)})
+    for f in (line_dedup.dedup_lines, similar.keep_one_copy, lambda d: surrogates.pseudonymise(d, b"k").drop("__entities")):
+        out = f(odd)
+        assert out.columns == odd.columns and {(r["a b"], r["c:d"], r["new"]) for r in out.collect()} == {(1, "x", 2)}
+
+
 def test_vantage_tree_links_all_close_pairs(spark):
     rng = np.random.default_rng(4)
     centres = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
@@ -378,7 +444,7 @@ def test_pipeline_stages(spark):
     lines = corpus_pipeline.line_chunks(spark, good, sf).cache()
     assert lines.columns == d.columns and lines.count() == good.count() and lines.where("n_chars <> length(text)").count() == 0
     near = corpus_pipeline.near_duplicates(spark, lines, sf).cache()
-    groups = {r["component_id"] for r in simhash.near_duplicates(lines).collect()}
+    groups = {r["component_id"] for r in similar.near_copies(lines).collect()}
     assert sorted(r["doc_id"] for r in near.collect()) == sorted(groups)
     safe = corpus_pipeline.personal_data(spark, near, sf).cache()
     s = surrogates.Surrogates(registry.SURROGATE_KEY)
