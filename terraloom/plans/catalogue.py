@@ -22,11 +22,12 @@ PTS = """pts AS (SELECT l_orderkey, l_linenumber, l_suppkey, CAST(l_quantity - 2
 LOG = "lg AS (SELECT event_type AS topic, epoch_us(ts) AS t, event_id AS seq, user_id AS sensor, value FROM events)"
 GEO = "geo AS (SELECT c_custkey AS id, 40.0 + (c_custkey % 1000) / 100.0 AS lat, (c_custkey % 3600) / 10.0 - 180.0 AS lon, c_acctbal AS alt FROM customer)"
 TRK = """trk AS (SELECT user_id AS trk, event_id AS seq, sum(value * cos(event_id)) OVER w AS x, sum(value * sin(event_id)) OVER w AS y, CAST(event_id % 7 AS DOUBLE) AS z
-  FROM events WHERE user_id % 20 = 0 AND value IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
+  FROM events WHERE value IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
 tk AS (SELECT trk, seq, round(x, 4) AS x, round(y, 4) AS y, z FROM trk)"""
 CLD = "cld AS (SELECT vec_id AS id, embedding[1]::DOUBLE * 30 AS x, embedding[2]::DOUBLE * 30 AS y, embedding[3]::DOUBLE * 30 AS z FROM embeddings)"
-GRID = PTS + """, cells AS (SELECT CAST(floor((x + 25) / 2.5) AS BIGINT) AS ix, CAST(floor(y / 4.0) AS BIGINT) AS iy, avg(z::DOUBLE) AS v FROM pts WHERE (l_suppkey * 7 + l_orderkey) % 11 < 3 GROUP BY 1, 2),
-grid AS (SELECT ix, iy, round(v, 6) * 1.0000001237::DOUBLE AS val FROM cells WHERE (ix * 5 + iy * 3 + ix * iy) % 7 > 1)"""
+GRID = PTS + """, cells AS (SELECT CAST(floor((x + 25) / 2.5) AS BIGINT) AS ix, CAST(floor(y / 4.0) AS BIGINT) AS iy, avg(z::DOUBLE) AS v FROM pts GROUP BY 1, 2),
+grid AS (SELECT ix, iy, round(v, 6) * 1.0000001237::DOUBLE AS val FROM cells WHERE round(v, 6) >= 4.85)"""
+HIGH = "g AS (SELECT ix, iy FROM grid WHERE val >= 5.05)"
 
 
 def _read(spark, sf, name):
@@ -47,7 +48,7 @@ def geo(spark, sf):
 
 
 def tracks(spark, sf):
-    e = _read(spark, sf, "events").where("user_id % 20 = 0 AND value IS NOT NULL")
+    e = _read(spark, sf, "events").where("value IS NOT NULL")
     w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     return e.select(F.col("user_id").alias("trk"), F.col("event_id").alias("seq"), F.round(F.sum(F.expr("value * cos(event_id)")).over(w), 4).alias("x"), F.round(F.sum(F.expr("value * sin(event_id)")).over(w), 4).alias("y"), F.expr("CAST(event_id % 7 AS DOUBLE)").alias("z"))
 
@@ -57,9 +58,10 @@ def cloud(spark, sf):
 
 
 def grid(spark, sf):
-    p = points(spark, sf).where("(l_suppkey * 7 + l_orderkey) % 11 < 3").withColumn("ix", F.floor((F.col("x") + 25) / 2.5).cast("long")).withColumn("iy", F.floor(F.col("y") / 4.0).cast("long"))
-    cells = p.groupBy("ix", "iy").agg((F.round(F.avg(F.col("z").cast("double")), 6) * F.lit(1.0000001237)).alias("val"))
-    return cells.where("(ix * 5 + iy * 3 + ix * iy) % 7 > 1")
+    """Cells of all points; those of a low mean stay empty, so that the raster has holes."""
+    p = points(spark, sf).withColumn("ix", F.floor((F.col("x") + 25) / 2.5).cast("long")).withColumn("iy", F.floor(F.col("y") / 4.0).cast("long"))
+    cells = p.groupBy("ix", "iy").agg(F.round(F.avg(F.col("z").cast("double")), 6).alias("v")).where(F.col("v") >= F.lit(4.85))
+    return cells.select("ix", "iy", (F.col("v") * F.lit(1.0000001237)).alias("val"))
 
 
 def _rounded(df: DataFrame, n: int, *cols: str) -> DataFrame:
@@ -247,18 +249,18 @@ def asof_nearest_ties(spark, sf):
     return _asof(spark, sf, 60_000_000)
 
 
-_TF = """tf AS (SELECT n_nationkey AS k, sin(radians(n_nationkey * 7.0) / 2) AS qz, cos(radians(n_nationkey * 7.0) / 2) AS qw, n_regionkey + 0.5 AS tx, n_nationkey * 0.25 AS ty, -1.0 AS tz FROM nation WHERE n_nationkey % 5 <> 3)"""
+_TF = """tf AS (SELECT n_nationkey AS k, sin(radians(n_nationkey * 7.0) / 2) AS qz, cos(radians(n_nationkey * 7.0) / 2) AS qw, n_regionkey + 0.5 AS tx, n_nationkey * 0.25 AS ty, -1.0 AS tz FROM nation)"""
 
 
-@query(f"""WITH {_TF}, s AS (SELECT s_suppkey, s_nationkey AS k, s_acctbal / 1000 AS x, (s_suppkey % 17) * 1.0 AS y, (s_suppkey % 5) * 1.0 AS z FROM supplier)
+@query(f"""WITH {_TF}, s AS (SELECT s_suppkey, s_nationkey + 3 AS k, s_acctbal / 1000 AS x, (s_suppkey % 17) * 1.0 AS y, (s_suppkey % 5) * 1.0 AS z FROM supplier)
 SELECT s_suppkey, round(coalesce(1 - 2 * qz * qz, 1) * x - coalesce(2 * qz * qw, 0) * y + coalesce(tx, 0), 6) AS x, round(coalesce(2 * qz * qw, 0) * x + coalesce(1 - 2 * qz * qz, 1) * y + coalesce(ty, 0), 6) AS y, round(z + coalesce(tz, 0), 6) AS z
 FROM s LEFT JOIN tf USING (k)""")
 def static_transform(spark, sf):
-    tf = _read(spark, sf, "nation").where("n_nationkey % 5 <> 3")
+    tf = _read(spark, sf, "nation")  # keys are shifted below: three nations have no transform
     half = F.radians(F.col("n_nationkey") * F.lit(7.0)) / 2
     r = rotation.from_quaternion(F.lit(0.0), F.lit(0.0), F.sin(half), F.cos(half))
     tf = tf.select(F.col("n_nationkey").alias("k"), *rotation.columns(r), (F.col("n_regionkey") + F.lit(0.5)).alias("tx"), (F.col("n_nationkey") * F.lit(0.25)).alias("ty"), F.lit(-1.0).alias("tz"))
-    s = _read(spark, sf, "supplier").selectExpr("s_suppkey", "s_nationkey AS k", "s_acctbal / 1000 AS x", "CAST(s_suppkey % 17 AS DOUBLE) AS y", "CAST(s_suppkey % 5 AS DOUBLE) AS z")
+    s = _read(spark, sf, "supplier").selectExpr("s_suppkey", "s_nationkey + 3 AS k", "s_acctbal / 1000 AS x", "CAST(s_suppkey % 17 AS DOUBLE) AS y", "CAST(s_suppkey % 5 AS DOUBLE) AS z")
     return _rounded(joins.apply_static(s, tf, "k").select("s_suppkey", "x", "y", "z"), 6, "x", "y", "z")
 
 
@@ -463,16 +465,16 @@ def hole_fill_ground(spark, sf):
     return _rounded(g.select("ix", "iy", "val").unionByName(rest.select("ix", "iy", "val")), 5, "val")
 
 
-@query(f"""WITH RECURSIVE {GRID}, g AS (SELECT ix, iy FROM grid WHERE (ix * 3 + iy) % 5 <> 0), reach AS (SELECT ix, iy, ix AS jx, iy AS jy FROM g UNION SELECT r.ix, r.iy, g.ix, g.iy FROM reach r JOIN g ON abs(r.jx - g.ix) + abs(r.jy - g.iy) = 1)
+@query(f"""WITH RECURSIVE {GRID}, {HIGH}, reach AS (SELECT ix, iy, ix AS jx, iy AS jy FROM g UNION SELECT r.ix, r.iy, g.ix, g.iy FROM reach r JOIN g ON abs(r.jx - g.ix) + abs(r.jy - g.iy) = 1)
 SELECT ix, iy, min(jx * 4294967296 + jy)::BIGINT AS label FROM reach GROUP BY ix, iy""")
 def components(spark, sf):
-    return raster.components(grid(spark, sf).where("(ix * 3 + iy) % 5 <> 0"))
+    return raster.components(grid(spark, sf).where(F.col("val") >= F.lit(5.05)))
 
 
-@query(f"""WITH RECURSIVE {GRID}, g AS (SELECT ix, iy FROM grid WHERE (ix * 3 + iy) % 5 <> 0), reach AS (SELECT ix, iy, ix AS jx, iy AS jy FROM g UNION SELECT r.ix, r.iy, g.ix, g.iy FROM reach r JOIN g ON abs(r.jx - g.ix) + abs(r.jy - g.iy) = 1)
+@query(f"""WITH RECURSIVE {GRID}, {HIGH}, reach AS (SELECT ix, iy, ix AS jx, iy AS jy FROM g UNION SELECT r.ix, r.iy, g.ix, g.iy FROM reach r JOIN g ON abs(r.jx - g.ix) + abs(r.jy - g.iy) = 1)
 SELECT ix, iy FROM reach GROUP BY ix, iy HAVING count(*) >= 3""")
 def drop_small(spark, sf):
-    return raster.drop_small(grid(spark, sf).where("(ix * 3 + iy) % 5 <> 0"), 3).select("ix", "iy")
+    return raster.drop_small(grid(spark, sf).where(F.col("val") >= F.lit(5.05)), 3).select("ix", "iy")
 
 
 _VID = f"{GRID}, v AS (SELECT ix, iy, val, (row_number() OVER (ORDER BY ix, iy) - 1)::INTEGER AS vid FROM grid)"
