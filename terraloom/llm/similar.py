@@ -2,7 +2,7 @@
 
 On 64 bits, texts that share four fifths of their five-word shingles differ in up to 14 places, a radius at
 which no tree prunes. So the vantage-point search links the closest texts, and the others meet under
-least hashes of their shingle sets, where their sets are compared in full.
+least hashes of their shingle sets, where their sets are compared in full. Large buckets are compared block by block.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from .simhash import _LOWER, _forest, fingerprint, link
 
 #: Keys of a text, and least hashes in each: a pair of similarity 0.8 misses all with a chance of 2e-4, one of 0.9 with 5e-8.
 BANDS, ROWS = 16, 4
-#: Shingles compared in one block, and the members of a larger bucket that stand in each of its blocks.
-BLOCK_SHINGLES, LEADERS = 1 << 20, 64
+#: Shingles of one block of a bucket, and bytes of sets sent in one batch.
+BLOCK_SHINGLES, BATCH_BYTES = 1 << 20, 8 << 20
 _FACTORS = np.random.default_rng(5).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _MIX = np.random.default_rng(7).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
@@ -51,23 +51,27 @@ def band_keys(shingles: np.ndarray) -> list[int]:
     return [int.from_bytes(xxhash.xxh3_64_digest(raw[b * ROWS * 8 : (b + 1) * ROWS * 8], b), "little", signed=True) for b in range(BANDS)]
 
 
-def similar_pairs(ids: np.ndarray, sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Links between all pairs of sets whose shared part of their union is similarity or more, by an inverted index."""
+def similar_pairs(ids: np.ndarray, sets: list[np.ndarray], similarity: float, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Links between all pairs of sets whose shared part of their union is similarity or more, by an inverted index.
+    If first is given, only pairs of one of the first sets and one of the others."""
     a, b = [ids[:0]], [ids[:0]]
     size = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), size)
     _, idx = np.unique(np.concatenate(sets), return_inverse=True)
-    order = np.argsort(idx, kind="stable")
-    posts, start = owner[order], np.concatenate([[0], np.cumsum(np.bincount(idx))])
     at = np.concatenate([[0], np.cumsum(size)])
-    for i in range(len(sets)):
+    known = idx[: at[first or len(sets)]]
+    order = np.argsort(known, kind="stable")
+    posts, start = owner[order], np.concatenate([[0], np.cumsum(np.bincount(known, minlength=idx.max(initial=0) + 1))])
+    for i in range(first, len(sets)):
         mine = idx[at[i] : at[i + 1]]
         n = start[mine + 1] - start[mine]
-        mine, n = mine[n > 1], n[n > 1]
+        some = n > (0 if first else 1)
+        mine, n = mine[some], n[some]
         if len(n):
             place = np.repeat(start[mine] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            both = np.bincount(posts[place], minlength=len(sets))[:i]
-            j = np.flatnonzero(both >= similarity * (size[i] + size[:i] - both) - 1e-9)
+            upto = first or i
+            both = np.bincount(posts[place], minlength=upto)[:upto]
+            j = np.flatnonzero(both >= similarity * (size[i] + size[:upto] - both) - 1e-9)
             a.append(np.repeat(ids[i], len(j)))
             b.append(ids[j])
     return np.concatenate(a), np.concatenate(b)
@@ -91,19 +95,19 @@ def _sketches(docs: DataFrame, shingle_words: int) -> DataFrame:
 
 
 def _blocks(reps: DataFrame) -> DataFrame:
-    """(doc, h1, key, block): the sets to compare with each other. Of buckets with the same members one stays.
-    A bucket of over BLOCK_SHINGLES is dealt over blocks by hash; about LEADERS of its members stand in each."""
+    """(doc, h1, key, i, j, own): the sets to compare. Of buckets with the same members one stays. A bucket of over
+    BLOCK_SHINGLES is dealt over blocks by hash, and a set stands at every pair (i, j) that its block, own, is in."""
     rows = materialise(reps.where("n > 0").select("doc", "h1", "n", F.xxhash64("h1", "h2").alias("h"), F.explode("keys").alias("key")))
     sizes = rows.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("mass"), F.bit_xor("h").alias("x"), F.bit_xor(F.xxhash64("h")).alias("y")).where("c > 1")
     kept = sizes.groupBy("c", "x", "y").agg(F.min(F.struct("key", "mass")).alias("k")).select("k.key", "c", F.ceil(F.col("k.mass") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     both = rows.join(kept, "key").withColumn("own", F.pmod(F.xxhash64("h", "key"), F.col("blocks")).cast("int"))
-    leads = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("key", "h"), F.greatest(F.lit(1), F.col("c") / LEADERS).cast("long")) == 0)
-    return both.select("doc", "h1", "key", F.explode(F.when(leads, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))).alias("block"))
+    both = both.select("doc", "h1", "key", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return both.select("doc", "h1", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own")
 
 
 def _verified(docs: DataFrame, reps: DataFrame, similarity: float, shingle_words: int) -> DataFrame:
-    """edges(a, b) between ids of the representatives: they connect what is similar within a block."""
-    told = _blocks(reps).groupBy("doc", "h1").agg(F.collect_list(F.struct("key", "block")).alias("at"))
+    """edges(a, b) between ids of the representatives: they connect what is similar within a bucket."""
+    told = _blocks(reps).groupBy("doc", "h1").agg(F.collect_list(F.struct("key", "i", "j", "own")).alias("at"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,16 +115,24 @@ def _verified(docs: DataFrame, reps: DataFrame, similarity: float, shingle_words
                 raw = shingle_set(text, shingle_words).tobytes()
                 if int.from_bytes(xxhash.xxh3_128_digest(raw)[:8], "little", signed=True) != h1:
                     continue  # another row of the same id
-                cols = ([doc] * len(at), [x["key"] for x in at], [x["block"] for x in at], [raw] * len(at))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))], ["doc", "key", "block", "raw"])
+                step = max(1, BATCH_BYTES // max(1, len(raw)))
+                for k in range(0, len(at), step):
+                    some = at[k : k + step]
+                    cols = [[doc] * len(some), *([x[c] for x in some] for c in ("key", "i", "j", "own")), [raw] * len(some)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()))], ["doc", "key", "i", "j", "own", "raw"])
 
     def local(table: pa.Table) -> pa.Table:
-        ids = table.column("doc").to_numpy()
-        a, b = _forest(*similar_pairs(ids, [np.frombuffer(x, np.uint64) for x in table.column("raw").to_pylist()], similarity))
+        i, j = (table.column(c)[0].as_py() for c in ("i", "j"))
+        table = table.sort_by("own")
+        first = 0 if i == j else int((table.column("own").to_numpy() == i).sum())
+        ids, raw = table.column("doc").to_numpy(), table.column("raw").to_pylist()
+        if i != j and first in (0, len(ids)):
+            ids, raw = ids[:0], []
+        a, b = _forest(*similar_pairs(ids, [np.frombuffer(x, np.uint64) for x in raw], similarity, first)) if raw else (ids, ids)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    spread = docs.withColumnRenamed("doc_id", "doc").join(told, "doc").select("doc", "text", "h1", "at").mapInArrow(sets, "doc long, key long, block int, raw binary")
-    return spread.groupBy("key", "block").applyInArrow(local, "a long, b long")
+    spread = docs.withColumnRenamed("doc_id", "doc").join(told, "doc").select("doc", "text", "h1", "at").mapInArrow(sets, "doc long, key long, i int, j int, own int, raw binary")
+    return spread.groupBy("key", "i", "j").applyInArrow(local, "a long, b long")
 
 
 def near_copies(docs: DataFrame, similarity: float = 0.8, text_col: str = "text", id_col: str = "doc_id", shingle_words: int = 5, radius: int = 2) -> DataFrame:

@@ -134,6 +134,20 @@ def test_large_buckets_are_dealt_over_blocks(spark, monkeypatch):
     assert counted(tuple(r) for r in got) == similar_groups(rows)
 
 
+def test_split_buckets_compare_all_blocks(spark, monkeypatch):
+    """Texts on one template that are similar in pairs alone: a pair is found whatever blocks its texts are in."""
+    monkeypatch.setattr(similar, "BLOCK_SHINGLES", 600)
+    monkeypatch.setattr(similar, "LEADERS", 1, raising=False)
+    rng = random.Random(6)
+    template, rows = [f"t{i}" for i in range(110)], []
+    for pair in range(250):
+        own = [f"p{pair}x{i}" for i in range(28)]
+        rows += [(len(rows) + k, " ".join(template + own + [f"o{pair}y{k}z{i}" for i in range(14)])) for k in range(2)]
+    rng.shuffle(rows)
+    got = similar.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert counted(tuple(r) for r in got) == similar_groups(rows) == counted((i, i - i % 2) for i, _ in rows)
+
+
 def test_odd_column_names(docs):
     """Names that need quoting pass through the operators that carry whole rows."""
     odd = docs.withColumns({"a b": F.lit(1), "c:d": F.lit("x"), "new": F.lit(2)})
