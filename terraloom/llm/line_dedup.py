@@ -1,4 +1,5 @@
-"""Line dedup: content-defined chunks of lines, removed where another document or place has them first."""
+"""Line dedup: content-defined chunks and the short windows of lines in and across them, removed where another
+document or place has them first."""
 
 from __future__ import annotations
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..scratch import materialise
+from .suffix_dedup import _slices
 
 _NONE = 0x7FFFFFFFFFFFFFFF
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -33,26 +35,35 @@ def chunk_spans(lines: list[bytes]) -> list[tuple[int, int]]:
 
 
 def chunks_of(body: bytes, min_lines: int = 2) -> tuple[list[bytes], list[tuple[int, int]], list[bool]]:
-    """Lines, chunk spans, and which chunks can be removed: those with min_lines lines that aren't blank."""
+    """Lines, spans, and which spans can be removed: those with min_lines lines that aren't blank. The spans, in
+    order, are the chunks and all windows from one line that isn't blank to the min_lines-th: the windows find the
+    ends of a shared passage, which its chunks don't reach, and passages of no whole chunk."""
     lines = body.split(b"\n")
-    spans = chunk_spans(lines)
-    solid = np.concatenate([[0], np.cumsum([bool(x.strip()) for x in lines])])
-    return lines, spans, [bool(solid[b] - solid[a] >= min_lines) for a, b in spans]
+    full = [i for i, x in enumerate(lines) if x.strip()]
+    windows = [(a, b + 1) for a, b in zip(full, full[min_lines - 1 :])] if min_lines > 0 else []
+    spans = sorted({*chunk_spans(lines), *windows})
+    solid = np.zeros(len(lines) + 1, np.int64)
+    solid[np.array(full, np.int64) + 1] = 1
+    solid = np.cumsum(solid).tolist()
+    return lines, spans, [solid[b] - solid[a] >= min_lines for a, b in spans]
 
 
 def repeated_chunks(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_lines: int = 2) -> DataFrame:
-    """docs plus `__removed` (array<int>, the numbers of the chunks to remove).
+    """docs plus `__removed` (array<int>, the numbers of the spans of chunks_of to remove).
 
-    A chunk is removed where the same bytes are a chunk earlier: in a smaller id, or in the same id at a
-    smaller place (rows with one id count as one document; null ids come last). Hashes only choose
-    candidates; chunks are then compared byte by byte. Null and empty texts have no chunks. Hot chunks are counted
+    A span is removed where the same bytes are a span earlier: in a smaller id, or in the same id at a
+    smaller place (rows with one id count as one document; null ids come last). So of each passage of min_lines
+    lines or more that an earlier place has, no line stays but blank ones at its ends. A line that goes has
+    an earlier copy, and the first copy of all stays, though removed spans that overlap a first passage can cut it. Hashes only choose
+    candidates; spans are then compared byte by byte. Null and empty texts have no chunks. Hot chunks are counted
     before they are shuffled, and joins on them are plain equi-joins that adaptive execution can split.
     """
     text = F.col(text_col).cast("string")
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NONE)).alias("doc"), F.xxhash64(text).alias("hash"), text.alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    row = F.struct(F.lit(0).alias("__"), *[F.col(f"`{c}`") for c in docs.columns if c != text_col])
+    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NONE)).alias("doc"), F.xxhash64(text).alias("hash"), text.alias("text"), row.alias("row"))
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for doc, hsh, t in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 lines, spans, ok = chunks_of((t or "").encode("utf-8", "surrogatepass"), min_lines)
@@ -68,7 +79,7 @@ def repeated_chunks(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     told = found.join(many, ["h1", "h2"]).groupBy("doc").agg(F.collect_list(F.struct("hash", "k")).alias("ks"))
 
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for doc, hsh, t, ks in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 mine = {x["k"] for x in ks or () if x["hash"] == hsh}
@@ -84,16 +95,15 @@ def repeated_chunks(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     late = some.join(first, "body").where(F.struct("doc", "k") > F.col("first")).groupBy("doc").agg(F.collect_set(F.struct("hash", "k")).alias("gone"))
     out = base.join(late, "doc", "left").select("doc", "hash", "text", "row", "gone")
     mine = F.transform(F.filter("gone", lambda x: x["hash"] == F.col("hash")), lambda x: x["k"])
-    out = out.select("row", F.array_sort(F.coalesce(mine, F.array().cast("array<int>"))).alias("__removed"))
-    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], "__removed")
+    out = out.select("row", "text", F.array_sort(F.coalesce(mine, F.array().cast("array<int>"))).alias("__removed"))
+    return out.select(*[(F.col("text").cast(docs.schema[c].dataType) if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns], "__removed")
 
 
-def without(text: str | None, removed: list[int]) -> tuple[str, int]:
-    """text without those chunks, and how many lines went."""
-    lines = (text or "").encode("utf-8", "surrogatepass").split(b"\n")
-    spans, gone = chunk_spans(lines), set(removed)
-    kept = [x for k, (a, b) in enumerate(spans) if k not in gone for x in lines[a:b]]
-    return b"\n".join(kept).decode("utf-8", "surrogatepass"), len(lines) - len(kept)
+def without(text: str | None, removed: list[int], min_lines: int = 2) -> tuple[str, int]:
+    """text without the lines of those spans of chunks_of, and how many lines went."""
+    lines, spans, _ = chunks_of((text or "").encode("utf-8", "surrogatepass"), min_lines)
+    gone = {i for k in removed for i in range(*spans[k])}
+    return b"\n".join([x for i, x in enumerate(lines) if i not in gone]).decode("utf-8", "surrogatepass"), len(gone)
 
 
 def _clean(docs: DataFrame, text_col: str, id_col: str, min_lines: int) -> DataFrame:
@@ -101,26 +111,27 @@ def _clean(docs: DataFrame, text_col: str, id_col: str, min_lines: int) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([("text", pa.string()), ("lines", pa.int64())])
-        for batch in batches:
+        for batch in _slices(batches):
             out = []
             for t, r in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                text, n = without(t, r) if r else (t, 0)
+                text, n = without(t, r, min_lines) if r else (t, 0)
                 out.append({"text": text, "lines": n})
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind), batch.column(2)], ["row", "new", "removed"])
 
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    row = F.struct(F.lit(0).alias("__"), *[F.col(f"`{c}`") for c in docs.columns if c != text_col])
     packed = found.select(row.alias("row"), F.col(text_col).cast("string").alias("t"), "__removed")
     return packed.mapInArrow(run, T.StructType([packed.schema["row"], *T.StructType.fromDDL("new struct<text: string, lines: bigint>, removed array<int>").fields]))
 
 
 def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_lines: int = 2) -> DataFrame:
-    """docs with repeated chunks cut out of the text (a null text stays null); all columns and rows stay."""
+    """docs with repeated chunks and windows cut out of the text (a null text stays null); all columns and rows stay."""
     done = _clean(docs, text_col, id_col, min_lines)
     return done.select(*[F.col("new.text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def digest(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_lines: int = 2) -> DataFrame:
-    """(doc_id, n_removed_chunks, n_removed_lines, kept_chars, kept_sha256) of each row of docs."""
+    """(doc_id, n_removed_chunks, n_removed_lines, kept_chars, kept_sha256) of each row of docs; n_removed_chunks
+    counts spans, chunks and windows alike."""
     done = _clean(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), "text", "doc_id", min_lines)
     text = F.coalesce("new.text", F.lit(""))
     return done.select(F.col("row.doc_id").alias("doc_id"), F.size("removed").cast("long").alias("n_removed_chunks"), F.col("new.lines").alias("n_removed_lines"), F.length(text).cast("long").alias("kept_chars"), F.sha2(F.encode(text, "UTF-8"), 256).alias("kept_sha256"))

@@ -259,6 +259,22 @@ def test_line_dedup(docs, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_shared_passages_go_whole(spark):
+    """Of passages of two to nine lines that an earlier document has, no line stays, wherever chunks end; all others stay."""
+    rows, want = [], {}
+    for n in range(2, 10):
+        for k in range(12):
+            shared = [f"passage {n} {k} line {i}" for i in range(n)]
+            shared[1:1] = [""] * (k % 2)
+            own = [[f"doc {len(rows) + side} own {i}" for i in range(5)] for side in range(2)]
+            want[len(rows)] = "\n".join(own[0][:3] + shared + own[0][3:])
+            want[len(rows) + 1] = "\n".join(own[1])
+            rows += [(len(rows), want[len(rows)]), (len(rows) + 1, "\n".join(own[1][:2] + shared + own[1][2:]))]
+    rows.append((len(rows), "doc 0 own 0\nlone\ndoc 0 own 1"))
+    want[len(rows) - 1] = rows[-1][1]
+    assert dict(tuple(r) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == want
+
+
 def test_line_chunks_resist_shifts():
     lines = [f"line {k * k}".encode() for k in range(60)]
     a = {tuple(lines[x:y]) for x, y in line_dedup.chunk_spans(lines)}
