@@ -9,11 +9,15 @@ induced sorting. Neighbours whose common prefix is long enough are one class; al
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import struct
+import tempfile
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,14 +27,15 @@ from ..scratch import materialise, shuffle_width
 GRAM, SLICE, ROWS = 32, 1 << 20, 512
 #: Keys and bytes that a task gathers before it sends them on.
 FLUSH_KEYS, FLUSH_BYTES = 1 << 21, 16 << 20
-#: Bytes of differing segments at which a shard is sorted; one key's segments may be more.
-SHARD_BYTES = 1 << 20
+#: Bytes of differing segments at which a shard is sorted. A key with more is parted on disk, each time into FAN files for each half of its starts.
+SHARD_BYTES, FAN = 1 << 20, 16
+_HEAD = struct.Struct("<4qI")
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 _NONE = 0x7FFFFFFFFFFFFFFF
 
 
-def start_keys(buf: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each string of width bytes in buf, the least hash of its grams, and whether its first gram has it."""
+def _grams(buf: bytes) -> np.ndarray:
+    """Hashes of all grams."""
     n = len(buf) - GRAM + 1
     words = np.ndarray((len(buf) - 7,), "<u8", buf, 0, (1,))
     h = words[:n] * _ODD[0]
@@ -38,7 +43,13 @@ def start_keys(buf: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
         h ^= words[8 * i : 8 * i + n] * _ODD[i]
         h = (h << np.uint64(23) | h >> np.uint64(41)) * _ODD[4]
     h ^= h >> np.uint64(32)
-    grams, want, have = h, width - GRAM + 1, 1
+    return h
+
+
+def start_keys(buf: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each string of width bytes in buf, the least hash of its grams, and whether its first gram has it."""
+    h = grams = _grams(buf)
+    want, have = width - GRAM + 1, 1
     while have < want:
         step = min(have, want - have)
         h = np.minimum(h[:-step], h[step:])
@@ -280,27 +291,58 @@ def _sorted_marks(pieces: list[bytes], info: np.ndarray, width: int, memory: int
     return np.stack([doc[own[at]], hsh[own[at]], start[own[at]] + off[at], np.diff(np.append(at, len(own)))])
 
 
+class KeyParts:
+    """Segments of one key that are more than memory holds, parted by further characters in files.
+
+    In each start's string the key's gram has a place; equal strings have the same. The places from lo to hi are
+    halved, a segment is cut where its starts change halves, and each piece goes to a file by a hash of
+    the characters that all strings of its half have in common. So equal strings meet in one file; for a
+    single place these characters are the whole string.
+    """
+
+    def __init__(self, key: int, width: int, lo: int, hi: int, depth: int):
+        self.key, self.width, self.depth = key, width, depth
+        mid = (lo + hi) // 2
+        self.halves = [(lo, mid), (mid, hi)] if hi - lo > 1 else [(lo, hi)]
+        self.files: dict[tuple[int, int, int], object] = {}
+
+    def add(self, doc: int, hsh: int, start: int, n: int, body: bytes) -> None:
+        at = int(np.argmax(_grams(body).view(np.int64) == self.key))
+        for lo, hi in self.halves:
+            a, b = max(0, at - hi + 1), min(n, at - lo + 1)
+            if a < b:
+                shared = body[at - lo : at - hi + 1 + self.width]
+                to = (lo, hi, xxhash.xxh3_64_intdigest(shared, self.depth) % FAN)
+                if to not in self.files:
+                    self.files[to] = tempfile.TemporaryFile()
+                piece = body[a : b + self.width - 1]
+                self.files[to].write(_HEAD.pack(doc, hsh, start + a, b - a, len(piece)) + piece)
+
+    def take(self) -> Iterator[tuple[int, int, Iterator[tuple]]]:
+        """(lo, hi, rows) of each file, which is closed after its rows."""
+        for lo, hi, k in list(self.files):
+            with self.files.pop((lo, hi, k)) as f:
+                f.seek(0)
+                yield lo, hi, self._rows(f)
+
+    @staticmethod
+    def _rows(f) -> Iterator[tuple]:
+        while head := f.read(_HEAD.size):
+            *row, size = _HEAD.unpack(head)
+            yield (*row, f.read(size))
+
+
 def _marks(width: int, memory: int, parts: int):
     """Segments, in order of key -> (doc, hash, start, n), packed for their documents' parts: runs of starts whose string of width bytes starts
     earlier elsewhere. Of equal segments under a key all but the first are settled at once. Keys with different
-    segments are put together, up to a bound of bytes, in shards to sort; a key is never parted."""
+    segments are put together, up to a bound of bytes, in shards to sort; a key beyond the bound is parted on disk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now: int | None = None
-        first: dict[bytes, tuple] = {}
         pieces: list[bytes] = []
         info: list[tuple] = []
         done: list[tuple] = []
         held = 0
 
-        def close_key() -> None:
-            nonlocal held
-            if len(first) > 1:
-                pieces.extend(first)
-                info.extend(first.values())
-                held += sum(map(len, first))
-            first.clear()
-
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal held
             rows = [np.array(done, np.int64).T] if done else []
@@ -312,25 +354,45 @@ def _marks(width: int, memory: int, parts: int):
                 x.clear()
             held = 0
 
-        for batch in batches:
-            for key, doc, hsh, start, n, body in zip(*(batch.column(i).to_pylist() for i in range(1, 7))):
-                if key != now:
-                    close_key()
-                    now = key
-                    if held >= SHARD_BYTES or len(done) >= 1 << 18:
-                        yield from flush()
+        def gather(key: int, rows: Iterable[tuple], lo: int, hi: int, depth: int) -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            first: dict[bytes, tuple] = {}
+            size, parted = 0, None
+            for doc, hsh, start, n, body in rows:
+                mine = (doc, hsh, start, n)
                 if n < 0:
                     done.append((doc, hsh, start, -n))
-                    continue
-                mine = (doc, hsh, start, n)
-                known = first.setdefault(body, mine)
-                if known is not mine:
-                    if (doc, start) < (known[0], known[2]):
+                elif parted:
+                    parted.add(*mine, body)
+                else:
+                    known = first.setdefault(body, mine)
+                    if known is mine:
+                        size += len(body)
+                    elif (doc, start) < (known[0], known[2]):
                         first[body] = mine
                         done.append(known)
                     elif (doc, start) > (known[0], known[2]):
                         done.append(mine)
-        close_key()
+                    if size > SHARD_BYTES:
+                        parted = KeyParts(key, width, lo, hi, depth)
+                        for b, x in first.items():
+                            parted.add(*x, b)
+                        first.clear()
+                if len(done) >= 1 << 18:
+                    yield from flush()
+            if parted:
+                for a, b, some in parted.take():
+                    yield from gather(key, some, a, b, depth + 1)
+            elif len(first) > 1 and hi - lo > 1:  # with a single place, different segments are different strings
+                pieces.extend(first)
+                info.extend(first.values())
+                held += size
+                if held >= SHARD_BYTES:
+                    yield from flush()
+
+        rows = (row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(1, 7))))
+        for key, some in groupby(rows, lambda row: row[0]):
+            yield from gather(key, (row[1:] for row in some), 0, width - GRAM + 1, 0)
         yield from flush()
 
     return run

@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -238,6 +239,37 @@ def test_induced_order(alphabet, memory):
             assert x[:10] >= y[:10] and lcp == min(k, 10)
 
 
+def test_hot_key_is_parted(monkeypatch):
+    """A passage in many surroundings: no shard to sort holds all segments of its keys, and the marks are those of all strings."""
+    width, bound, most = 100, 4000, []
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", bound)
+    plain = suffix_dedup._sorted_marks
+    monkeypatch.setattr(suffix_dedup, "_sorted_marks", lambda pieces, *a: (most.append(sum(map(len, pieces))), plain(pieces, *a))[1])
+    rng = random.Random(8)
+    word = lambda k: "".join(rng.choices("abcdefgh ", k=k)).encode()
+    passage, ends = word(400), [word(60) for _ in range(6)]
+    texts = [word(80) + rng.choice(ends)[k % 50 :] + passage + rng.choice(ends)[: k % 55] + word(80) for k in range(300)]
+    rows = []
+    for own, start, n, key in suffix_dedup.runs(texts, width):
+        rows += [(0, int(k), int(i), 1, int(s), int(m), texts[i][s : s + m + width - 1]) for i, s, m, k in zip(own, start, n, key.view(np.int64))]
+    rows.sort(key=lambda r: (r[1], rng.random()))
+    kinds = (pa.int32(), *[pa.int64()] * 5, pa.binary())
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 500]), kinds)], [str(k) for k in range(7)]) for i in range(0, len(rows), 500)]
+    got = set()
+    for batch in suffix_dedup._marks(width, 1 << 20, 3)(iter(batches)):
+        for blob in batch.column(1).to_pylist():
+            found = [(d, s + i) for d, _, s, n in zip(*(x.tolist() for x in suffix_dedup._arrays(blob, 4))) for i in range(n)]
+            assert len(found) == len(set(found)) and not got & set(found)
+            got |= set(found)
+    seen, want = set(), set()
+    for d, t in enumerate(texts):
+        for s in range(len(t) - width + 1):
+            if t[s : s + width] in seen:
+                want.add((d, s))
+            seen.add(t[s : s + width])
+    assert got == want and max(most) < 2 * bound + 2 * width
+
+
 def test_line_dedup(docs, empty):
     key = lambda i: (1 << 63) - 1 if i is None else i
     found = []
