@@ -78,63 +78,85 @@ def similar_pairs(ids: np.ndarray, sets: list[np.ndarray], similarity: float, fi
 
 
 def _sketches(docs: DataFrame, shingle_words: int) -> DataFrame:
-    """docs(doc_id, text) -> (doc_id, h1, h2, fp, n, keys): equal shingle sets have equal h1, h2."""
+    """docs(doc_id, text, hash) -> (doc_id, hash, h1, h2, fp, n, keys): equal shingle sets have equal h1, h2."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, text, hsh in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 s = shingle_set(text, shingle_words)
                 d = xxhash.xxh3_128_digest(s.tobytes())
-                rows.append((doc, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), int.from_bytes(fingerprint(text, shingle_words), "big", signed=True), len(s), band_keys(s) if len(s) else []))
-            cols = list(zip(*rows)) if rows else [()] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["doc_id", "h1", "h2", "fp", "n", "keys"])
+                rows.append((doc, hsh, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), int.from_bytes(fingerprint(text, shingle_words), "big", signed=True), len(s), band_keys(s) if len(s) else []))
+            cols = list(zip(*rows)) if rows else [()] * 7
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["doc_id", "hash", "h1", "h2", "fp", "n", "keys"])
 
-    return docs.mapInArrow(run, "doc_id long, h1 long, h2 long, fp long, n long, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, hash long, h1 long, h2 long, fp long, n long, keys array<long>")
 
 
 def _blocks(reps: DataFrame) -> DataFrame:
-    """(doc, h1, key, i, j, own): the sets to compare. Of buckets with the same members one stays. A bucket of over
+    """(doc, node, h1, key, i, j, own): the sets to compare. Of buckets with the same members one stays. A bucket of over
     BLOCK_SHINGLES is dealt over blocks by hash, and a set stands at every pair (i, j) that its block, own, is in."""
-    rows = materialise(reps.where("n > 0").select("doc", "h1", "n", F.xxhash64("h1", "h2").alias("h"), F.explode("keys").alias("key")))
+    rows = materialise(reps.where("n > 0").select("doc", "node", "h1", "n", F.xxhash64("h1", "h2").alias("h"), F.explode("keys").alias("key")))
     sizes = rows.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("mass"), F.bit_xor("h").alias("x"), F.bit_xor(F.xxhash64("h")).alias("y")).where("c > 1")
     kept = sizes.groupBy("c", "x", "y").agg(F.min(F.struct("key", "mass")).alias("k")).select("k.key", "c", F.ceil(F.col("k.mass") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     both = rows.join(kept, "key").withColumn("own", F.pmod(F.xxhash64("h", "key"), F.col("blocks")).cast("int"))
-    both = both.select("doc", "h1", "key", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    return both.select("doc", "h1", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own")
+    both = both.select("doc", "node", "h1", "key", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return both.select("doc", "node", "h1", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own")
 
 
 def _verified(docs: DataFrame, reps: DataFrame, similarity: float, shingle_words: int) -> DataFrame:
-    """edges(a, b) between ids of the representatives: they connect what is similar within a bucket."""
-    told = _blocks(reps).groupBy("doc", "h1").agg(F.collect_list(F.struct("key", "i", "j", "own")).alias("at"))
+    """edges(a, b) between nodes of the representatives: they connect what is similar within a bucket."""
+    told = _blocks(reps).groupBy("doc", "node", "h1").agg(F.collect_list(F.struct("key", "i", "j", "own")).alias("at"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, text, h1, at in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for node, text, h1, at in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 raw = shingle_set(text, shingle_words).tobytes()
                 if int.from_bytes(xxhash.xxh3_128_digest(raw)[:8], "little", signed=True) != h1:
                     continue  # another row of the same id
                 step = max(1, BATCH_BYTES // max(1, len(raw)))
                 for k in range(0, len(at), step):
                     some = at[k : k + step]
-                    cols = [[doc] * len(some), *([x[c] for x in some] for c in ("key", "i", "j", "own")), [raw] * len(some)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()))], ["doc", "key", "i", "j", "own", "raw"])
+                    cols = [[node] * len(some), *([x[c] for x in some] for c in ("key", "i", "j", "own")), [raw] * len(some)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()))], ["node", "key", "i", "j", "own", "raw"])
 
     def local(table: pa.Table) -> pa.Table:
         i, j = (table.column(c)[0].as_py() for c in ("i", "j"))
         table = table.sort_by("own")
         first = 0 if i == j else int((table.column("own").to_numpy() == i).sum())
-        ids, raw = table.column("doc").to_numpy(), table.column("raw").to_pylist()
+        ids, raw = table.column("node").to_numpy(), table.column("raw").to_pylist()
         if i != j and first in (0, len(ids)):
             ids, raw = ids[:0], []
         a, b = _forest(*similar_pairs(ids, [np.frombuffer(x, np.uint64) for x in raw], similarity, first)) if raw else (ids, ids)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    spread = docs.withColumnRenamed("doc_id", "doc").join(told, "doc").select("doc", "text", "h1", "at").mapInArrow(sets, "doc long, key long, i int, j int, own int, raw binary")
+    spread = docs.withColumnRenamed("doc_id", "doc").join(told, "doc").select("node", "text", "h1", "at").mapInArrow(sets, "node long, key long, i int, j int, own int, raw binary")
     return spread.groupBy("key", "i", "j").applyInArrow(local, "a long, b long")
 
 
+def _labels(docs: DataFrame, similarity: float, text_col: str, id_col: str, shingle_words: int, radius: int, by_id: bool) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, hash, h1, h2, ..) of each row, and (h1, h2, root) of each set of shingles: sets that link have one root.
+    Nodes are the sets' smallest ids; unless by_id, sets that share that id are nodes of their own."""
+    text = F.col(text_col).cast("string")
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("hash"))
+    base = materialise(_sketches(plain, shingle_words))
+    reps = base.where("doc_id IS NOT NULL").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "fp", "n", "keys")).alias("x")).select(F.col("x.doc_id").alias("doc"), "h1", "h2", "x.fp", "x.n", "x.keys")
+    if by_id:
+        reps = materialise(reps.withColumn("node", F.col("doc")))
+    else:
+        reps = materialise(reps)
+        shared = materialise(reps.groupBy("doc").agg(F.count("*").alias("c")).where("c > 1").select("doc", F.lit(True).alias("shared")))
+        reps = reps.join(shared, "doc", "left").withColumn("node", F.when(F.col("shared"), F.col("h1")).otherwise(F.col("doc"))).drop("shared")
+    lead = materialise(reps.groupBy("fp").agg(F.min("node").alias("lead")))
+    same = reps.join(lead, "fp").select(F.col("node").alias("a"), F.col("lead").alias("b"))
+    at = lambda side: lead.select(F.col("fp").alias(side), F.col("lead").alias(f"{side}_doc"))
+    close = link(lead.select("fp"), radius).join(at("a"), "a").join(at("b"), "b").select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"))
+    edges = same.unionAll(close).unionAll(_verified(plain.drop("hash"), reps, similarity, shingle_words))
+    comps = materialise(connected_components(edges))
+    return base, reps.join(comps, "node", "left").select("h1", "h2", F.coalesce("root", "node").alias("root"))
+
+
 def near_copies(docs: DataFrame, similarity: float = 0.8, text_col: str = "text", id_col: str = "doc_id", shingle_words: int = 5, radius: int = 2) -> DataFrame:
     """(doc_id, component_id), one row per row of docs: the smallest id reachable over similar texts.
 
@@ -144,21 +166,21 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, text_col: str = "text"
     component of its own text. Rows with a null id link nothing and have a null component_id. Equal sets meet
     as one, named by their smallest id, so that copies cost one row in the search.
     """
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    base = materialise(_sketches(plain, shingle_words))
-    reps = materialise(base.where("doc_id IS NOT NULL").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "fp", "n", "keys")).alias("x")).select(F.col("x.doc_id").alias("doc"), "h1", "h2", "x.fp", "x.n", "x.keys"))
-    lead = materialise(reps.groupBy("fp").agg(F.min("doc").alias("lead")))
-    same = reps.join(lead, "fp").select(F.col("doc").alias("a"), F.col("lead").alias("b"))
-    at = lambda side: lead.select(F.col("fp").alias(side), F.col("lead").alias(f"{side}_doc"))
-    close = link(lead.select("fp"), radius).join(at("a"), "a").join(at("b"), "b").select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"))
-    edges = same.unionAll(close).unionAll(_verified(plain, reps, similarity, shingle_words))
-    comps = materialise(connected_components(edges))
-    labels = reps.join(comps, reps.doc == comps.node, "left").select("h1", "h2", F.coalesce("root", "doc").alias("component_id"))
-    return base.join(labels, ["h1", "h2"], "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    base, labels = _labels(docs, similarity, text_col, id_col, shingle_words, radius, True)
+    return base.join(labels, ["h1", "h2"], "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("root")).alias("component_id"))
+
 
+def keep_one_copy(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", similarity: float = 0.8, shingle_words: int = 5, radius: int = 2) -> DataFrame:
+    """docs with one row of each group of texts that link as in near_copies; all columns stay, and rows with a null id.
 
-def keep_one_copy(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **how) -> DataFrame:
-    """docs without the rows whose component has a smaller id; all columns stay. Rows with a null id stay."""
-    found = near_copies(docs, text_col=text_col, id_col=id_col, **how)
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
+    That with the smallest id stays. Rows are told apart by id and text: texts that share an id link only if they
+    are similar, and of those with the group's smallest id one stays, any one of rows with the same text.
+    """
+    base, labels = _labels(docs, similarity, text_col, id_col, shingle_words, radius, False)
+    rows = materialise(base.where("doc_id IS NOT NULL").join(labels, ["h1", "h2"]).groupBy("root", "doc_id", "hash").agg(F.count("*").alias("c")))
+    stay = materialise(rows.groupBy("root").agg(F.min(F.struct("doc_id", "hash", "c")).alias("x")).select("x.*"))
+    many = materialise(stay.where("c > 1").select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash")))
+    gone = rows.join(stay, ["doc_id", "hash"], "left_anti").select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"))
+    keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__hash": F.xxhash64(F.col(text_col).cast("string"))})
+    once = keyed.join(gone.unionAll(many), ["__id", "__hash"], "left_anti")
+    return once.unionByName(keyed.join(many, ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"])).drop("__id", "__hash")

@@ -149,6 +149,16 @@ def test_split_buckets_compare_all_blocks(spark, monkeypatch):
     assert counted(tuple(r) for r in got) == similar_groups(rows) == counted((i, i - i % 2) for i, _ in rows)
 
 
+def test_one_copy_of_repeated_ids(spark):
+    """Of rows with one id, a text that is like none stays when another goes; identical rows become one; null ids stay."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(100)) for x in "abcd")
+    rows = [(1, a), (2, a + " end"), (2, b), (3, c), (3, c), (3, c + " end"), (4, b + " end"), (5, d), (5, a), (None, d), (None, d)]
+    got = similar.keep_one_copy(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = counted(tuple(r) for r in got)
+    c_row = (3, c) if (3, c) in got else (3, c + " end")
+    assert got == {(1, a): 1, (2, b): 1, c_row: 1, (5, d): 1, (None, d): 2}
+
+
 def test_odd_column_names(docs):
     """Names that need quoting pass through the operators that carry whole rows."""
     odd = docs.withColumns({"a b": F.lit(1), "c:d": F.lit("x"), "new": F.lit(2)})
