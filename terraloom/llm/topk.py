@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -99,53 +101,91 @@ class BitSlices:
         return words[w] * 64 + b
 
 
+class Exact:
+    """Rows scored one by one with Python's integers, where a component is too wide for bit slices."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray):
+        self.ids, self.rows = ids, rows.astype(object)
+
+    def top(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, list[int]]:
+        """As BitSlices.top, in order."""
+        scores = [sum(x * y for x, y in zip(row, query)) for row in self.rows]
+        best = sorted((i for i, x in enumerate(self.ids.tolist()) if x != own), key=lambda i: (-scores[i], self.ids[i]))[:k]
+        return self.ids[best], [scores[i] for i in best]
+
+
 def valid(id_col: str, vector_col: str) -> Column:
-    """Rows that take part: an id, and a vector of finite components that floor(256 * x) can hold in 31 bits."""
+    """Rows that take part: an id, and a vector of finite components."""
     x = F.col(vector_col)
-    return F.col(id_col).isNotNull() & x.isNotNull() & F.coalesce(F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float(1 << 22))), F.lit(False))
+    return F.col(id_col).isNotNull() & x.isNotNull() & F.coalesce(F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))), F.lit(False))
+
+
+def narrow(vector_col: str) -> Column:
+    """Vectors of which floor(256 * x) fits in 31 bits."""
+    return F.forall(vector_col, lambda v: F.abs(v) < float(1 << 22))
+
+
+def _floor(x: float) -> int:
+    """floor(256 * x), exact also where 256 * x is beyond a double."""
+    return int(x) * 256 if abs(x) >= 1 << 53 else math.floor(256.0 * x)
 
 
 def _blocks(size: int):
-    """Rows (part, id, vector) -> (part, n, ids, cells): up to size rows of a part in a block."""
+    """Rows (part, id, vector, wide) -> (part, n, ids, cells): up to size rows of a part in a block. One of vector, integers,
+    and wide, doubles, is null. A block of wide rows has a negative n."""
 
-    def pack(part: int, ids: list[int], vectors: list[list[int]]) -> pa.RecordBatch:
-        wide = max(map(len, vectors), default=0)
-        cells = np.array([v + [0] * (wide - len(v)) for v in vectors], np.int64).reshape(len(ids), wide)
-        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([len(ids)], pa.int32()), pa.array([np.array(ids, np.int64).tobytes()], pa.binary()), pa.array([cells.astype(np.int32).tobytes()], pa.binary())], ["part", "n", "ids", "cells"])
+    def pack(part: int, wide: bool, ids: list[int], vectors: list[list[int]]) -> pa.RecordBatch:
+        width = max(map(len, vectors), default=0)
+        vectors = [v + [0] * (width - len(v)) for v in vectors]
+        cells = pickle.dumps(vectors) if wide else np.array(vectors, np.int64).reshape(len(ids), width).astype(np.int32).tobytes()
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([-len(ids) if wide else len(ids)], pa.int32()), pa.array([np.array(ids, np.int64).tobytes()], pa.binary()), pa.array([cells], pa.binary())], ["part", "n", "ids", "cells"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[list, list]] = {}
+        held: dict[tuple[int, bool], tuple[list, list]] = {}
         for batch in batches:
-            for part, i, v in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                ids, vectors = held.setdefault(part, ([], []))
+            for part, i, v, w in zip(*(batch.column(c).to_pylist() for c in range(4))):
+                at = (part, v is None)
+                ids, vectors = held.setdefault(at, ([], []))
                 ids.append(i)
-                vectors.append(v)
+                vectors.append([_floor(x) for x in w] if v is None else v)
                 if len(ids) >= size:
-                    yield pack(part, *held.pop(part))
-        for part, (ids, vectors) in held.items():
-            yield pack(part, ids, vectors)
+                    yield pack(*at, *held.pop(at))
+        for at, (ids, vectors) in held.items():
+            yield pack(*at, ids, vectors)
 
     return run
 
 
 def _unpack(n: int, ids: bytes, cells: bytes) -> tuple[np.ndarray, np.ndarray]:
+    if n < 0:
+        return np.frombuffer(ids, np.int64), np.array(pickle.loads(cells), object).reshape(-n, -1)
     return np.frombuffer(ids, np.int64), np.frombuffer(cells, np.int32).astype(np.int64).reshape(n, -1)
 
 
+def _long(score: int) -> int | None:
+    """The score; null if it is below all longs, so that it comes last."""
+    if score >= 1 << 63:
+        raise OverflowError(f"the score {score} is beyond a long")
+    return score if score >= -(1 << 63) else None
+
+
 def _score(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, index = None, None
         for batch in batches:
             for n, ids, cells, qn, qids, qcells in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                if last != ids:
-                    last, index = ids, BitSlices(*_unpack(n, ids, cells))
+                kind = BitSlices if n > 0 and qn > 0 else Exact
+                if last != (ids, kind):
+                    last, index = (ids, kind), kind(*_unpack(n, ids, cells))
                 out: list[tuple] = []
                 queries, vectors = _unpack(qn, qids, qcells)
                 d = index.rows.shape[1]
                 for q, v in zip(queries.tolist(), vectors):
-                    v = np.concatenate([v[:d], np.zeros(max(0, d - len(v)), np.int64)])
+                    v = np.concatenate([v[:d], np.zeros(max(0, d - len(v)), v.dtype)])
+                    v = v.astype(object) if kind is Exact else v
                     found, scores = index.top(v, q, k)
-                    out += zip([q] * len(found), found.tolist(), scores.tolist())
+                    scores = [_long(x) for x in scores] if kind is Exact else scores.tolist()
+                    out += zip([q] * len(found), found.tolist(), scores)
                 cols = list(zip(*out)) if out else [()] * 3
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["query_id", "vec_id", "score"])
 
@@ -158,22 +198,26 @@ def top_k(table: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
 
     Rows go to shards by hash of the id, each a bit-sliced index; blocks of queries meet every
     shard by an equi-join on its number, and the shards' best rows are ranked. Components that the shorter
-    of two vectors lacks count as zero. Null ids and vectors, and vectors with null, non-finite or (from
-    2 ** 22 on) too large components take no part. A query skips all rows of its own id; of repeated rows with another
+    of two vectors lacks count as zero. Null ids and vectors, and vectors with null or non-finite
+    components take no part. Vectors with components from 2 ** 22 on, and pairs with one, are scored row by row with Python's
+    integers; a score among the results that no long holds is an error. A query skips all rows of its own id; of repeated rows with another
     id, each is a candidate. An empty table gives no rows.
     """
     cells = F.transform(vector_col, lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("long"))
-    rows = table.where(valid(id_col, vector_col)).select(F.col(id_col).cast("long").alias("id"), cells.alias("v"))
+    rows = table.where(valid(id_col, vector_col)).select(
+        F.col(id_col).cast("long").alias("id"), F.when(narrow(vector_col), cells).alias("v"), F.when(~narrow(vector_col), F.col(vector_col).cast("array<double>")).alias("w")
+    )
     n = table.count()
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-n // (every * QUERY_ROWS)))
     part = lambda m: F.pmod(F.xxhash64("id"), F.lit(m)).cast("int").alias("part")
     kind = "part int, n int, ids binary, cells binary"
-    index = rows.select(part(shards), "id", "v").repartition(shards, "part").mapInArrow(_blocks(shard_rows), kind)
-    asked = rows.where(F.col("id") % every == 0).select(part(blocks), "id", "v").repartition(blocks, "part").mapInArrow(_blocks(QUERY_ROWS), kind)
+    index = rows.select(part(shards), "id", "v", "w").repartition(shards, "part").mapInArrow(_blocks(shard_rows), kind)
+    asked = rows.where(F.col("id") % every == 0).select(part(blocks), "id", "v", "w").repartition(blocks, "part").mapInArrow(_blocks(QUERY_ROWS), kind)
     asked = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("part"), F.col("n").alias("qn"), F.col("ids").alias("qids"), F.col("cells").alias("qcells"))
     met = index.join(asked, "part").select("n", "ids", "cells", "qn", "qids", "qcells").mapInArrow(_score(k), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", F.coalesce("score", F.raise_error(F.lit("a score is beyond a long")).cast("long")).alias("score"))
 
 
 def oracle(k: int = 5, every: int = 50) -> str:

@@ -484,6 +484,21 @@ def test_top_k(spark):
     assert topk.top_k(one).count() == 0
 
 
+def test_top_k_of_wide_vectors(spark):
+    """Finite components from 2 ** 22 on count, in queries and candidates, with exact scores."""
+    rng = np.random.default_rng(9)
+    rows = [(k, v.tolist()) for k, v in enumerate(rng.normal(0, 0.2, (300, 8)))]
+    rows += [(300, [2.0**22] + [0.1] * 7), (301, [-(2.0**30)] + [0.3] * 7), (302, [0.1] * 7 + [2.0**40 + 0.5]), (350, [2.0**22, -(2.0**22)] + [0.0] * 3), (303, [float("inf")] * 8)]
+    ok = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows if np.isfinite(v).all()]
+    want = []
+    for q, a in ok:
+        if q % 50 == 0:
+            want += [(q, r + 1, i, -x) for r, (x, i) in enumerate(sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in ok if i != q)[:5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for size in (50, 16384):
+        assert sorted(tuple(r) for r in topk.top_k(df, shard_rows=size).collect()) == sorted(want)
+
+
 @pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
 def test_token_counts(spark, docs, empty, file):
     path = P.path(file)
