@@ -10,12 +10,46 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vocab import PieceCache, chunks, load_ranks, pattern
+from .vocab import GPT_PATTERN, chunks, load_ranks, pattern
 
 #: Neighbour pairs that are remembered before the memo starts afresh.
 PAIR_ROWS = 1 << 20
 
 
+class PieceCache(dict):
+    """What encode gives for pieces of text, in bounded memory.
+
+    The first KEPT pieces stay, as frequent ones come early; later ones go to a smaller part that
+    starts afresh when full. A new piece that is a word with marks after it is put together from both.
+    """
+
+    KEPT, RECENT, LONGEST = 300_000, 1 << 16, 64
+    MARKS = "\n!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+    def __init__(self, encode, join, table: dict | None = None):
+        super().__init__(table or {})
+        self.encode, self.join, self.recent, self.most = encode, join, {}, self.KEPT + len(self)
+
+    def __missing__(self, part: str):
+        word = part.rstrip(self.MARKS)
+        if len(word) < len(part) and word and word[-1].isalnum():
+            return self.join(self.of(word), self.of(part[len(word) :]))
+        return self.of(part)
+
+    def of(self, part: str):
+        if (got := self.get(part)) is not None or (got := self.recent.get(part)) is not None:
+            return got
+        got = self.encode(part)
+        if len(part) <= self.LONGEST:
+            if len(self) < self.most:
+                self[part] = got
+            else:
+                if len(self.recent) >= self.RECENT:
+                    self.recent.clear()
+                self.recent[part] = got
+        return got
+
+
 class BytePairEncoder:
     """Exact BPE of a rank table in time linear in the input.
 
@@ -117,14 +151,16 @@ def _joined(a: tuple[bytes, bytes], b: tuple[bytes, bytes]) -> tuple[bytes, byte
 
 
 class TextEncoder:
-    """Whole texts: cuts them into pre-tokens, and keeps what it has encoded in bounded caches."""
+    """Whole texts: cuts them into pre-tokens, and keeps what it has encoded in bounded caches.
+
+    Only the one pattern that is known to end a match at each single blank is cut there first; any other is matched as it stands."""
 
     def __init__(self, ranks: dict[bytes, int], source: str):
-        self.bpe, self.pattern = BytePairEncoder(ranks), pattern(source)
+        self.bpe, self.pattern, self.cuts = BytePairEncoder(ranks), pattern(source), source == GPT_PATTERN
         self.known = PieceCache(self._pair, _joined)
 
     def ids(self, text: str) -> list[int]:
-        if text.removeprefix(" ").isalpha() and text.isascii():
+        if self.cuts and text.removeprefix(" ").isalpha() and text.isascii():
             return self.bpe.encode(text.encode())
         out: list[int] = []
         for piece in self.pattern.findall(text):
@@ -141,7 +177,7 @@ class TextEncoder:
 
     def both(self, text: str) -> tuple[bytes, bytes]:
         """Decimal ids joined by commas, and the bytes they decode to."""
-        parts = chunks(text)
+        parts = chunks(text) if self.cuts else None
         if parts is None:
             return self._pair(text)
         got = [x for x in map(self.known.__getitem__, parts) if x[0]]

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import materialise, shuffle_width
-from .vocab import PieceCache, chunks, cuts_at_spaces, library, library_ids, merge_ranks, special_strings
+from .vocab import library, whole_texts
 
-#: The split of byte-level pre-tokens that tokenizers files with use_regex imply.
-GPT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Hashed features, dimensions of the curve and bits of each.
 FEATURES, DIMS, BITS = 256, 4, 8
+#: Bytes of packed ids that a range of the curve holds on average, at most.
+RANGE_BYTES = 64 << 20
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -49,6 +49,15 @@ def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
+def _bucket(ids: np.ndarray) -> np.ndarray:
+    return (ids.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(24)
+
+
+@lru_cache(maxsize=1)
+def _buckets(size: int) -> np.ndarray:
+    return _bucket(np.arange(size)).astype(np.uint8)
+
+
 @lru_cache(maxsize=1)
 def _projection() -> np.ndarray:
     return np.random.default_rng(7).choice([-1.0, 1.0], (FEATURES, DIMS)) / np.sqrt(FEATURES)
@@ -61,49 +70,25 @@ def curve_keys(counts: np.ndarray) -> np.ndarray:
     return hilbert_keys(at.astype(np.int64))
 
 
-def packed_pieces(path: str, dtype: str, source: str) -> PieceCache:
-    """Ids of pieces as packed bytes. New pieces go to a rank encoder where the file amounts to a rank
-    table, as that gives the library's ids in a quarter of its time, else to the library."""
-    if (ranks := merge_ranks(path)) is not None:
-        import tiktoken
-
-        encode = tiktoken.Encoding("own", pat_str=source, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    else:
-        tok = library(path)
-        encode = lambda part: tok.encode(part, add_special_tokens=False).ids
-    kind = "H" if dtype == "<u2" else "I"
-    return PieceCache(lambda part: (struct.pack(f"<{len(x)}{kind}", *x) if (x := encode(part)) else b""), bytes.__add__)
-
-
-@lru_cache(maxsize=1)
-def held_pieces(path: str, dtype: str, source: str) -> PieceCache | None:
-    """The worker process's cache; None for files whose texts can't be cut."""
-    return packed_pieces(path, dtype, source) if cuts_at_spaces(path) else None
-
-
-def tokenised(docs: DataFrame, path: str, end_id: int, text_col: str, id_col: str, source: str) -> DataFrame:
+def tokenised(docs: DataFrame, path: str, end_id: int, text_col: str, id_col: str) -> DataFrame:
     """(doc_id, place, n, ids): the packed ids with the end id, and a place on the curve that the
     document's own hash refines, so that copies don't share one."""
-    fast, special = cuts_at_spaces(path), special_strings(path) if path.endswith(".json") else ()
     dtype = id_type(path, end_id)
+    size, code = np.dtype(dtype).itemsize, "H" if dtype == "<u2" else "I"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, tail = held_pieces(path, dtype, source), np.array([end_id], dtype).tobytes()
+        encode, bucket = whole_texts(path).ids, _buckets(1 << 16)
         for whole in batches:
             for first in range(0, len(whole), 512):
                 batch = whole.slice(first, 512)
-                texts = [t or "" for t in batch.column(1).to_pylist()]
-                cut = [chunks(t) if fast and not any(s in t for s in special) else None for t in texts]
-                blobs, counts = [], np.zeros((len(texts), FEATURES))
-                for i, (text, parts) in enumerate(zip(texts, cut)):
-                    if parts is None:
-                        blob = np.array(library_ids(path, [text])[0], dtype).tobytes() + tail
-                    else:
-                        blob = b"".join(map(pieces.__getitem__, parts)) + tail
-                    blobs.append(blob)
-                    ids = np.frombuffer(blob, dtype).astype(np.uint32)
-                    counts[i] = np.bincount((ids * np.uint32(2654435761)) >> np.uint32(24), minlength=FEATURES)
-                n = [len(b) // np.dtype(dtype).itemsize for b in blobs]
+                blobs, counts = [], np.zeros((len(batch), FEATURES))
+                for i, text in enumerate(batch.column(1).to_pylist()):
+                    ids = array(code, encode(text or ""))
+                    ids.append(end_id)
+                    flat = np.frombuffer(ids, dtype)
+                    counts[i] = np.bincount(bucket[flat] if size == 2 else _bucket(flat), minlength=FEATURES)
+                    blobs.append(ids.tobytes())
+                n = [len(b) // size for b in blobs]
                 place = (curve_keys(counts) << 31) | batch.column(2).to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(place, pa.int64()), pa.array(n, pa.int64()), pa.array(blobs, pa.binary())], ["doc_id", "place", "n", "ids"])
 
@@ -128,19 +113,21 @@ def _tail_starts(total: int, width: int) -> list[int]:
     return out
 
 
-def pack(docs: DataFrame, path: str, width: int = 2048, end_id: int = 1, text_col: str = "text", id_col: str = "doc_id", source: str = GPT_PATTERN) -> DataFrame:
+def pack(docs: DataFrame, path: str, width: int = 2048, end_id: int = 1, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (array<int>).
 
     Documents are tokenised whole (a null text is empty), each closed by end_id. Their hashed vectors are
     projected to four dimensions and range-sorted by Hilbert key; the stream of ids along the curve is cut
     every width ids, so neighbours share sequences and only the last, unfilled width is left, which is
     cut into powers of two. Ranges of the curve hold about equal numbers of documents, also where copies share a
-    point; their token totals, one number a range, make the global offsets. Repeated rows and null ids
-    are packed like any other; an empty table gives no rows.
+    point, and their number grows with the ids; their token totals, one number a range, make the global offsets.
+    Repeated rows and null ids are packed like any other; a text of any length is tokenised whole and cut; other
+    columns play no part; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    ids = materialise(tokenised(docs, path, end_id, text_col, id_col, source))
-    ranges = shuffle_width(spark)
+    ids = materialise(tokenised(docs, path, end_id, text_col, id_col))
+    size = ids.agg(F.sum("n")).first()[0] or 0
+    ranges = max(shuffle_width(spark), -(-size * np.dtype(id_type(path, end_id)).itemsize // RANGE_BYTES))
     bounds = ids.approxQuantile("place", [i / ranges for i in range(1, ranges)], 0.25 / ranges) if ranges > 1 else []
     edges = np.array(sorted(set(bounds)))
 
@@ -180,5 +167,5 @@ def pack(docs: DataFrame, path: str, width: int = 2048, end_id: int = 1, text_co
             kinds = [pa.int64()] * 7 + [pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
 
-    ordered = ids.repartition(ranges, "range").sortWithinPartitions("range", "place", "doc_id", "n", "ids").select("range", "doc_id", "ids")
+    ordered = ids.repartitionById(ranges, "range").sortWithinPartitions("range", "place", "doc_id", "n", "ids").select("range", "doc_id", "ids")
     return ordered.mapInArrow(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>")
