@@ -20,7 +20,7 @@ JSON, MULTI = P.path("byte_bpe_50k.json"), P.path("byte_bpe_multi_50k.tiktoken")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 rnd = random.Random(11)
 BASE = " ".join(rnd.choice("alpha beta gamma delta of the and river stone light echo".split()) + str(rnd.randint(0, 99)) for _ in range(400))
-ODD = ["", None, " ", "\n\n", "one", "two words", "a  b\n\n c\t", "日本語 テキスト 😀", "x" * 5000, "ab " * 3000, "tag <|endoftext|> here", "l1\nl2\nl3\nl4\nl5\nl6"]
+ODD = ["", None, " ", "\n\n", "one", "two words", "a  b\n\n c\t", "日本語 テキスト 😀", "x" * 5000, "ab " * 3000, "tag <|endoftext|> here", "l1\nl2\nl3\nl4\nl5\nl6", "“Curly” quotes — and’s dashes…\ta tab\r\n", "Привет, мир 123  и ещё", "漢字かな交じり文。١٢٣ ½ x²", "unassigned \u0378 and \U0003d000 ", "a<|endoftext|>"]
 
 
 def corpus():
@@ -351,6 +351,17 @@ def encoded(rows):
     return [(r[0], tok.encode(r[1] or "", add_special_tokens=False).ids) for r in rows]
 
 
+def test_rank_encoder_gives_the_librarys_ids():
+    """Every assigned character up to U+FFFF between letters, digits, marks and blanks; odd texts; very long texts."""
+    import unicodedata
+
+    chars = [chr(c) for c in range(0x10000) if unicodedata.category(chr(c)) not in ("Cn", "Cs")]
+    texts = [f"a{c}1{c}!{c}b 2{c} {c}" for c in chars] + odd_texts(500) + ["x" * 300_000, " " * 50_000 + "a", "no end " * 60_000, "-=" * 40_000]
+    encode = vocab.whole_texts(JSON).ids
+    for i in range(0, len(texts), 10_000):
+        assert list(map(encode, texts[i : i + 10_000])) == vocab.library_ids(JSON, texts[i : i + 10_000])
+
+
 def test_packing(docs, empty):
     rows = [(i, ids + [1]) for i, ids in encoded(corpus())]
     for width in (64, 2048):
@@ -417,6 +428,11 @@ def test_byte_bpe(docs, empty):
         want = lib.encode_ordinary(t)
         assert enc.both(t) == (",".join(map(str, want)).encode(), t.encode())
         assert enc.ids(t) == want
+    other = r"(?i:[a-z]) | ?[a-z ]+|\s|."  # matches run over blanks
+    lib2, enc2 = tiktoken.Encoding("u", pat_str=other, mergeable_ranks=ranks, special_tokens={}), bpe.TextEncoder(ranks, other)
+    for t in odd_texts(300) + ["plain words with a few blanks."]:
+        t = "".join(c for c in t if c.isascii() and c.isprintable())
+        assert enc2.both(t) == (",".join(map(str, lib2.encode_ordinary(t))).encode(), t.encode()) and enc2.ids(t) == lib2.encode_ordinary(t)
     want = []
     for i, t, *_ in corpus():
         ids = lib.encode_ordinary(t or "")
@@ -510,6 +526,18 @@ def test_token_counts(spark, docs, empty, file):
     assert token_count.count_tokens(empty, path).count() == 0
 
 
+def test_frequent_pre_tokens_are_of_all_texts(spark, monkeypatch):
+    """Counted over all rows of many tasks, with summaries merged in two steps; rare ones are let go on the way."""
+    monkeypatch.setattr(token_count, "FAN_IN", 3)
+    monkeypatch.setattr(token_count, "COUNTED", 300)
+    rows = [(k, f"common’s words, often. rare{k} once{k * 7}") for k in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(11)
+    top = token_count.frequent_pre_tokens(df, JSON, "text", 8)
+    assert set(top) >= {"common", "’", "s", " words", ",", " often", "."}
+    got = {r["doc_id"]: r["n_tokens"] for r in token_count.count_tokens(df, JSON, table_rows=8).collect()}
+    assert got == {k: len(x) for (k, _), x in zip(rows, vocab.library_ids(JSON, [t for _, t in rows]))}
+
+
 def test_registered_twins(spark):
     sf = "/root/testdata/sf0.001"
     for t in ("documents", "conversations", "embeddings"):
