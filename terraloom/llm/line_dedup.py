@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..scratch import materialise
-from .suffix_dedup import _slices
+from .suffix_dedup import _slices, document_key
 
-_NONE = 0x7FFFFFFFFFFFFFFF
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -52,15 +51,17 @@ def repeated_chunks(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     """docs plus `__removed` (array<int>, the numbers of the spans of chunks_of to remove).
 
     A span is removed where the same bytes are a span earlier: in a smaller id, or in the same id at a
-    smaller place (rows with one id count as one document; null ids come last). So of each passage of min_lines
+    smaller place. Rows with one id count as one document; rows with a null id come last (ids are below 2 ** 62), each
+    different text a document of its own, in order of a hash. So of each passage of min_lines
     lines or more that an earlier place has, no line stays but blank ones at its ends. A line that goes has
     an earlier copy, and the first copy of all stays, though removed spans that overlap a first passage can cut it. Hashes only choose
-    candidates; spans are then compared byte by byte. Null and empty texts have no chunks. Hot chunks are counted
-    before they are shuffled, and joins on them are plain equi-joins that adaptive execution can split.
+    candidates; spans are then compared byte by byte. Null and empty texts have no chunks; texts of any length are read
+    whole; all columns stay, whatever their names; an empty table gives an empty one. Hot chunks are counted before
+    they are shuffled, and their counts written before they are joined, so that adaptive execution can split their rows.
     """
     text = F.col(text_col).cast("string")
     row = F.struct(F.lit(0).alias("__"), *[F.col(f"`{c}`") for c in docs.columns if c != text_col])
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NONE)).alias("doc"), F.xxhash64(text).alias("hash"), text.alias("text"), row.alias("row"))
+    base = docs.select(document_key(id_col, text).alias("doc"), F.xxhash64(text).alias("hash"), text.alias("text"), row.alias("row"))
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
@@ -75,7 +76,7 @@ def repeated_chunks(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()))], ["doc", "hash", "k", "h1", "h2"])
 
     found = materialise(base.select("doc", "hash", "text").mapInArrow(hashes, "doc long, hash long, k int, h1 long, h2 long"))
-    many = found.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2")
+    many = materialise(found.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2"))
     told = found.join(many, ["h1", "h2"]).groupBy("doc").agg(F.collect_list(F.struct("hash", "k")).alias("ks"))
 
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,7 +92,7 @@ def repeated_chunks(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
 
     some = base.select("doc", "hash", "text").join(told, "doc").select("doc", "hash", "text", "ks").mapInArrow(bodies, "doc long, hash long, k int, body binary")
     some = materialise(some)
-    first = some.groupBy("body").agg(F.min(F.struct("doc", "k")).alias("first"), F.count("*").alias("c")).where("c > 1").select("body", "first")
+    first = materialise(some.groupBy("body").agg(F.min(F.struct("doc", "k")).alias("first"), F.count("*").alias("c")).where("c > 1").select("body", "first"))
     late = some.join(first, "body").where(F.struct("doc", "k") > F.col("first")).groupBy("doc").agg(F.collect_set(F.struct("hash", "k")).alias("gone"))
     out = base.join(late, "doc", "left").select("doc", "hash", "text", "row", "gone")
     mine = F.transform(F.filter("gone", lambda x: x["hash"] == F.col("hash")), lambda x: x["k"])

@@ -209,13 +209,15 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     link at radius or fewer differing bits; component_id is the smallest doc_id reachable. Exact copies
     meet as one fingerprint, so a group of copies costs one row in the search. Repeated rows each
     return. A row with a null doc_id returns its fingerprint, links nothing, and has a null component_id.
+    Texts of any length are read whole; an empty table gives no rows; other columns play no part. Labels are
+    written before they are joined, so that adaptive execution can split the rows of a hot fingerprint.
     """
     fps = materialise(fingerprints(docs, text_col, id_col, shingle_words))
     rep = materialise(fps.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep")))
     comps = materialise(connected_components(link(rep.select("fp"), radius)))
     linked = comps.join(rep, comps.node == rep.fp).select("fp", "rep", "root")
-    low = linked.groupBy("root").agg(F.min("rep").alias("low"))
-    labels = rep.join(linked.join(low, "root").select("fp", "low"), "fp", "left").select("fp", F.coalesce("low", "rep").alias("component_id"))
+    low = materialise(linked.groupBy("root").agg(F.min("rep").alias("low")))
+    labels = materialise(rep.join(linked.join(low, "root").select("fp", "low"), "fp", "left").select("fp", F.coalesce("low", "rep").alias("component_id")))
     return fps.join(labels, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 

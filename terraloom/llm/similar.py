@@ -154,7 +154,7 @@ def _labels(docs: DataFrame, similarity: float, text_col: str, id_col: str, shin
     close = link(lead.select("fp"), radius).join(at("a"), "a").join(at("b"), "b").select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"))
     edges = same.unionAll(close).unionAll(_verified(plain.drop("hash"), reps, similarity, shingle_words))
     comps = materialise(connected_components(edges))
-    return base, reps.join(comps, "node", "left").select("h1", "h2", F.coalesce("root", "node").alias("root"))
+    return base, materialise(reps.join(comps, "node", "left").select("h1", "h2", F.coalesce("root", "node").alias("root")))
 
 
 def near_copies(docs: DataFrame, similarity: float = 0.8, text_col: str = "text", id_col: str = "doc_id", shingle_words: int = 5, radius: int = 2) -> DataFrame:
@@ -164,7 +164,8 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, text_col: str = "text"
     shingles have a Jaccard similarity of similarity or more. Words as in simhash.near_duplicates(); texts
     without words are copies of each other. Repeated rows each return; rows that share an id have each the
     component of its own text. Rows with a null id link nothing and have a null component_id. Equal sets meet
-    as one, named by their smallest id, so that copies cost one row in the search.
+    as one, named by their smallest id, so that copies cost one row in the search. Texts of any length are read
+    whole; an empty table gives no rows; other columns play no part.
     """
     base, labels = _labels(docs, similarity, text_col, id_col, shingle_words, radius, True)
     return base.join(labels, ["h1", "h2"], "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("root")).alias("component_id"))

@@ -31,7 +31,8 @@ FLUSH_KEYS, FLUSH_BYTES = 1 << 21, 16 << 20
 SHARD_BYTES, FAN = 1 << 20, 16
 _HEAD = struct.Struct("<4qI")
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
-_NONE = 0x7FFFFFFFFFFFFFFF
+#: Bytes of text that a part holds on average, at most.
+PART_BYTES = 64 << 20
 
 
 def _grams(buf: bytes) -> np.ndarray:
@@ -186,6 +187,9 @@ def _by_document(width: int, name: str):
         rows = np.concatenate(found, axis=1)
         found.clear()
         rows = rows[:, np.argsort(rows[0], kind="stable")]
+        tail = np.searchsorted(rows[0], 1 << 62)
+        if tail < len(rows[0]):  # rows with one text and no id tell the same
+            rows = np.concatenate([rows[:, :tail], np.unique(rows[:, tail:], axis=1)], axis=1)
         at, n = _groups(rows[0])
         for i in range(0, len(at), 10_000):
             yield pa.RecordBatch.from_arrays([pa.array(rows[0][at[i : i + 10_000]]), pa.array([rows[1:, a : a + k].tobytes() for a, k in zip(at[i : i + 10_000], n[i : i + 10_000])], pa.binary())], ["doc", name])
@@ -417,6 +421,11 @@ def _grouped(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy("doc").agg(F.collect_list(col).alias(col))
 
 
+def document_key(id_col: str, text: Column) -> Column:
+    """A document's place among all: its id, and after all ids below 2 ** 62 a hash of the text where there is none."""
+    return F.coalesce(F.col(id_col).cast("long"), F.shiftrightunsigned(F.xxhash64(text), 2).bitwiseOR(F.lit(1 << 62)))
+
+
 def _text_bytes(col: str) -> Column:
     return F.encode(F.col(col).cast("string"), "UTF-8")
 
@@ -426,25 +435,27 @@ def repeated_spans(docs: DataFrame, width: int = 100, text_col: str = "text", id
     long: lo, hi), the maximal runs of bytes covered by strings of width bytes that also start earlier.
 
     Earlier: in a smaller id, or in the same id at a smaller start. Rows with one id count as one
-    document, so that equal rows keep the same; rows with a null id come after all others. Matches never
-    cross texts and are judged on the input. All columns stay; rows keep their number.
+    document, so that equal rows keep the same; rows with a null id come after all others (ids are below
+    2 ** 62), each different text a document of its own, in order of a hash. Matches never cross texts and are
+    judged on the input; null and empty texts have none, and texts of any length are read in slices. All columns
+    stay, whatever their names; rows keep their number; an empty table gives an empty one.
     """
-    width_n = shuffle_width(docs.sparkSession)
     names = docs.columns
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NONE)).alias("doc"), F.xxhash64(_text_bytes(text_col)).alias("hash"), _text_bytes(text_col).alias("body"), F.struct(F.lit(0).alias("__"), *[F.col(f"`{c}`") for c in names if c != text_col]).alias("row"))
+    base = docs.select(document_key(id_col, _text_bytes(text_col)).alias("doc"), F.xxhash64(_text_bytes(text_col)).alias("hash"), _text_bytes(text_col).alias("body"), F.struct(F.lit(0).alias("__"), *[F.col(f"`{c}`") for c in names if c != text_col]).alias("row"))
     light = base.select("doc", "hash", "body")
     whole = materialise(light.select("doc", "hash", F.sha2("body", 256).alias("sha"), F.octet_length("body").alias("n")).where(F.col("n") >= width))
-    head = whole.groupBy("sha").agg(F.min("doc").alias("head"), F.count("*").alias("c")).where("c > 1").select("sha", "head")
+    width_n = max(shuffle_width(docs.sparkSession), -(-(whole.agg(F.sum("n")).first()[0] or 0) // PART_BYTES))
+    head = materialise(whole.groupBy("sha").agg(F.min("doc").alias("head"), F.count("*").alias("c")).where("c > 1").select("sha", "head"))
     copies = materialise(whole.join(head, "sha").where("doc > head").groupBy("doc").agg(F.collect_set("hash").alias("copies")))
     rows = light.mapInArrow(_key_rows(width, width_n), "part int, kind int, body binary")
     packed = "part int, body binary"
-    keys = rows.repartition(width_n, "part").mapInArrow(_repeated(width_n), packed).repartition(width_n, "part").mapInArrow(_by_document(2, "keys"), "doc long, keys binary")
+    keys = rows.repartitionById(width_n, "part").mapInArrow(_repeated(width_n), packed).repartitionById(width_n, "part").mapInArrow(_by_document(2, "keys"), "doc long, keys binary")
     told = keys.withColumn("copy", F.lit(None).cast("array<long>")).unionByName(copies.select("doc", F.lit(None).cast("binary").alias("keys"), F.col("copies").alias("copy")))
     told = told.groupBy("doc").agg(F.collect_list("keys").alias("keys"), F.flatten(F.collect_list("copy")).alias("copies"))
     text = base.select("doc", "hash", "body", "row")
     segments = text.join(told, "doc", "left").select("doc", "hash", "body", "keys", "copies", "row").mapInArrow(_segments(width, width_n), "part int, key long, doc long, hash long, start long, n long, body binary")
-    marks = segments.repartition(width_n, "part").sortWithinPartitions("key").mapInArrow(_marks(width, memory, width_n), packed)
-    marks = marks.repartition(width_n, "part").mapInArrow(_by_document(4, "marks"), "doc long, marks binary")
+    marks = segments.repartitionById(width_n, "part").sortWithinPartitions("key").mapInArrow(_marks(width, memory, width_n), packed)
+    marks = marks.repartitionById(width_n, "part").mapInArrow(_by_document(4, "marks"), "doc long, marks binary")
     marks = marks.withColumn("copy", F.lit(None).cast("array<long>")).unionByName(copies.select("doc", F.lit(None).cast("binary").alias("marks"), F.col("copies").alias("copy")))
     marks = marks.groupBy("doc").agg(F.collect_list("marks").alias("marks"), F.flatten(F.collect_list("copy")).alias("copies"))
 

@@ -201,21 +201,24 @@ def test_dense_clusters_take_the_linear_way():
     assert len(a) == len(x) - 1 and set(b) == {x[0]}
 
 
+def document_key(i, t):
+    return i if i is not None else 1 << 62 | (42 if t is None else xxhash.xxh64_intdigest(t.encode(), 42)) >> 2
+
+
 def plain_repeats(rows, width):
-    """Removed bytes by definition; rows of one id are one document, null ids come last."""
+    """Removed bytes by definition; rows of one id are one document; null ids come last, each text of theirs a document."""
     first = {}
-    key = lambda i: (1 << 63) - 1 if i is None else i
     for i, t in rows:
         b = (t or "").encode()
         for s in range(len(b) - width + 1):
             g = b[s : s + width]
-            first[g] = min(first.get(g, (key(i), s)), (key(i), s))
+            first[g] = min(first.get(g, (document_key(i, t), s)), (document_key(i, t), s))
     out = []
     for i, t in rows:
         b = (t or "").encode()
         gone = np.zeros(len(b) + 1, bool)
         for s in range(len(b) - width + 1):
-            if first[b[s : s + width]] != (key(i), s):
+            if first[b[s : s + width]] != (document_key(i, t), s):
                 gone[s : s + width] = True
         kept = bytes(x for x, g in zip(b, gone) if not g)
         spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
@@ -226,6 +229,10 @@ def plain_repeats(rows, width):
 def test_suffix_dedup(docs, empty):
     want = counted(plain_repeats([(r[0], r[1]) for r in corpus()], 100))
     assert counted(tuple(r) for r in suffix_dedup.digest(docs).collect()) == want
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(121))
+    rows = [(None, passage), (None, passage + " here"), (None, "there " + passage), (None, passage + " here"), (None, None), (None, "")]
+    got = counted(tuple(r) for r in suffix_dedup.digest(docs.sparkSession.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == counted(plain_repeats(rows, 100)) and sum(r[2] for r in got) == 242
     assert suffix_dedup.digest(empty).count() == 0
     assert suffix_dedup.remove_repeats(docs).columns == docs.columns
 
@@ -281,11 +288,10 @@ def test_hot_key_is_parted(monkeypatch):
 
 
 def test_line_dedup(docs, empty):
-    key = lambda i: (1 << 63) - 1 if i is None else i
     found = []
     for n, (i, t, *_) in enumerate(corpus()):
         lines, spans, ok = line_dedup.chunks_of((t or "").encode())
-        found += [(n, k, b"\n".join(lines[a:b]), key(i)) for k, ((a, b), g) in enumerate(zip(spans, ok)) if g]
+        found += [(n, k, b"\n".join(lines[a:b]), document_key(i, t)) for k, ((a, b), g) in enumerate(zip(spans, ok)) if g]
     first = {}
     for n, k, body, i in found:
         first[body] = min(first.get(body, (i, k)), (i, k))
