@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..scratch import materialise
+from .rows import as_columns, as_struct
 from .suffix_dedup import _slices, document_key
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -48,7 +49,8 @@ def chunks_of(body: bytes, min_lines: int = 2) -> tuple[list[bytes], list[tuple[
 
 
 def repeated_chunks(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_lines: int = 2) -> DataFrame:
-    """docs plus `__removed` (array<int>, the numbers of the spans of chunks_of to remove).
+    """(row, text, removed) for each row of docs: its other columns as rows.as_struct() has them, its text, and the numbers
+    of the spans of chunks_of to remove (array<int>).
 
     A span is removed where the same bytes are a span earlier: in a smaller id, or in the same id at a
     smaller place. Rows with one id count as one document; rows with a null id come last (ids are below 2 ** 62), each
@@ -60,8 +62,7 @@ def repeated_chunks(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     they are shuffled, and their counts written before they are joined, so that adaptive execution can split their rows.
     """
     text = F.col(text_col).cast("string")
-    row = F.struct(F.lit(0).alias("__"), *[F.col(f"`{c}`") for c in docs.columns if c != text_col])
-    base = docs.select(document_key(id_col, text).alias("doc"), F.xxhash64(text).alias("hash"), text.alias("text"), row.alias("row"))
+    base = docs.select(document_key(id_col, text).alias("doc"), F.xxhash64(text).alias("hash"), text.alias("text"), as_struct(docs, text_col).alias("row"))
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
@@ -96,8 +97,7 @@ def repeated_chunks(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     late = some.join(first, "body").where(F.struct("doc", "k") > F.col("first")).groupBy("doc").agg(F.collect_set(F.struct("hash", "k")).alias("gone"))
     out = base.join(late, "doc", "left").select("doc", "hash", "text", "row", "gone")
     mine = F.transform(F.filter("gone", lambda x: x["hash"] == F.col("hash")), lambda x: x["k"])
-    out = out.select("row", "text", F.array_sort(F.coalesce(mine, F.array().cast("array<int>"))).alias("__removed"))
-    return out.select(*[(F.col("text").cast(docs.schema[c].dataType) if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns], "__removed")
+    return out.select("row", "text", F.array_sort(F.coalesce(mine, F.array().cast("array<int>"))).alias("removed"))
 
 
 def without(text: str | None, removed: list[int], min_lines: int = 2) -> tuple[str, int]:
@@ -119,15 +119,13 @@ def _clean(docs: DataFrame, text_col: str, id_col: str, min_lines: int) -> DataF
                 out.append({"text": text, "lines": n})
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind), batch.column(2)], ["row", "new", "removed"])
 
-    row = F.struct(F.lit(0).alias("__"), *[F.col(f"`{c}`") for c in docs.columns if c != text_col])
-    packed = found.select(row.alias("row"), F.col(text_col).cast("string").alias("t"), "__removed")
-    return packed.mapInArrow(run, T.StructType([packed.schema["row"], *T.StructType.fromDDL("new struct<text: string, lines: bigint>, removed array<int>").fields]))
+    return found.mapInArrow(run, T.StructType([found.schema["row"], *T.StructType.fromDDL("new struct<text: string, lines: bigint>, removed array<int>").fields]))
 
 
 def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_lines: int = 2) -> DataFrame:
     """docs with repeated chunks and windows cut out of the text (a null text stays null); all columns and rows stay."""
     done = _clean(docs, text_col, id_col, min_lines)
-    return done.select(*[F.col("new.text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
+    return done.select(*as_columns(docs, text_col, F.col("new.text")))
 
 
 def digest(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_lines: int = 2) -> DataFrame:
@@ -135,4 +133,4 @@ def digest(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_
     counts spans, chunks and windows alike."""
     done = _clean(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), "text", "doc_id", min_lines)
     text = F.coalesce("new.text", F.lit(""))
-    return done.select(F.col("row.doc_id").alias("doc_id"), F.size("removed").cast("long").alias("n_removed_chunks"), F.col("new.lines").alias("n_removed_lines"), F.length(text).cast("long").alias("kept_chars"), F.sha2(F.encode(text, "UTF-8"), 256).alias("kept_sha256"))
+    return done.select(F.col("row.f0").alias("doc_id"), F.size("removed").cast("long").alias("n_removed_chunks"), F.col("new.lines").alias("n_removed_lines"), F.length(text).cast("long").alias("kept_chars"), F.sha2(F.encode(text, "UTF-8"), 256).alias("kept_sha256"))

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .induced_sort import sorted_suffixes
+from .rows import as_columns, as_struct
 from ..scratch import materialise, shuffle_width
 
 GRAM, SLICE, ROWS = 32, 1 << 20, 512
@@ -431,8 +432,8 @@ def _text_bytes(col: str) -> Column:
 
 
 def repeated_spans(docs: DataFrame, width: int = 100, text_col: str = "text", id_col: str = "doc_id", memory: int = 64 << 20) -> DataFrame:
-    """docs plus `__body` (binary, the whole text) and `__spans` (array of structs of
-    long: lo, hi), the maximal runs of bytes covered by strings of width bytes that also start earlier.
+    """(row, body, spans) for each row of docs: its other columns as rows.as_struct() has them, its text's bytes, and (array
+    of structs of long: lo, hi) the maximal runs of bytes covered by strings of width bytes that also start earlier.
 
     Earlier: in a smaller id, or in the same id at a smaller start. Rows with one id count as one
     document, so that equal rows keep the same; rows with a null id come after all others (ids are below
@@ -440,8 +441,7 @@ def repeated_spans(docs: DataFrame, width: int = 100, text_col: str = "text", id
     judged on the input; null and empty texts have none, and texts of any length are read in slices. All columns
     stay, whatever their names; rows keep their number; an empty table gives an empty one.
     """
-    names = docs.columns
-    base = docs.select(document_key(id_col, _text_bytes(text_col)).alias("doc"), F.xxhash64(_text_bytes(text_col)).alias("hash"), _text_bytes(text_col).alias("body"), F.struct(F.lit(0).alias("__"), *[F.col(f"`{c}`") for c in names if c != text_col]).alias("row"))
+    base = docs.select(document_key(id_col, _text_bytes(text_col)).alias("doc"), F.xxhash64(_text_bytes(text_col)).alias("hash"), _text_bytes(text_col).alias("body"), as_struct(docs, text_col).alias("row"))
     light = base.select("doc", "hash", "body")
     whole = materialise(light.select("doc", "hash", F.sha2("body", 256).alias("sha"), F.octet_length("body").alias("n")).where(F.col("n") >= width))
     width_n = max(shuffle_width(docs.sparkSession), -(-(whole.agg(F.sum("n")).first()[0] or 0) // PART_BYTES))
@@ -470,8 +470,7 @@ def repeated_spans(docs: DataFrame, width: int = 100, text_col: str = "text", id
 
     rowtype = text.schema["row"].dataType.simpleString()
     done = text.join(marks, "doc", "left").select("doc", "hash", "body", "row", "marks", "copies").mapInArrow(finish, f"row {rowtype}, body binary, spans array<struct<lo: bigint, hi: bigint>>")
-    text = F.decode("body", "UTF-8")
-    return done.select(*[text.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in names], F.col("body").alias("__body"), F.col("spans").alias("__spans"))
+    return done.select("row", "body", "spans")
 
 
 def digest(docs: DataFrame, width: int = 100, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -491,7 +490,7 @@ def digest(docs: DataFrame, width: int = 100, text_col: str = "text", id_col: st
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string())))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     found = repeated_spans(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), width)
-    return found.select("doc_id", "__body", "__spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return found.select(F.col("row.f0").alias("doc_id"), "body", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, width: int = 100, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -509,4 +508,4 @@ def remove_repeats(docs: DataFrame, width: int = 100, text_col: str = "text", id
         return pd.Series(out)
 
     found = repeated_spans(docs, width, text_col, id_col)
-    return found.withColumn(text_col, F.when(F.col(text_col).isNotNull(), kept("__body", "__spans"))).select(*docs.columns)
+    return found.select(*as_columns(docs, text_col, F.when(F.col("body").isNotNull(), kept("body", "spans"))))
