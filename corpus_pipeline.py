@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _recounted(surrogates.pseudonymise(docs, SURROGATE_KEY).drop("__entities"))
+    return _recounted(surrogates.pseudonymise(docs, SURROGATE_KEY, spans_col=None))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
