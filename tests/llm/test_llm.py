@@ -333,25 +333,70 @@ def test_line_chunks_resist_shifts():
     assert len(a - b) <= 1 and all(len(c) >= 2 for c in list(a)[:-1])
 
 
+CALL = "conv_id long, turn long, call_id string, name string, arguments string, depends array<string>"
+RESULT = "conv_id long, turn long, call_id string, content string"
+TOOLS = "name string, fields array<struct<path: string, type: string, required: boolean, minimum: double, maximum: double, max_length: int>>"
+
+
 def test_chat(spark):
-    s = spark.createDataFrame([("sum", ["a"], {"a": "integer", "b": "number", "c": "array"})], "name string, required array<string>, types map<string,string>")
-    calls = spark.createDataFrame([
-        (1, 1, "x", "sum", '{"b":1.50,"a":2}', None), (1, 3, "y", "sum", '{"c":[1, 2],"a":"2"}', "x"), (1, 5, "z", "sum", "{", "y"),
+    need = lambda p, t, *more: (p, t, *(more or (False, None, None, None)))
+    s = spark.createDataFrame([("sum", [need("a", "integer", True, 0.0, 9.0, None), need("b", "number"), need("c", "array"), need("o", "object"), need("o.p", "string", True, None, None, 3), need("o.q", "object"), need("o.q.r", "boolean", True, None, None, None)])], TOOLS)
+    calls = [
+        (1, 1, "x", "sum", '{"b":1.50,"a":2}', []), (1, 3, "y", "sum", '{"c":[1, 2],"a":"2"}', ["x"]), (1, 5, "z", "sum", "{", ["y", "x", "gone"]),
         (2, 1, "d", "sum", '{"a":1}', None), (2, 2, "d", "sum", '{"q":null}', None), (3, 1, None, "nope", "{}", None),
-        (4, 1, "c1", "sum", '{"a":1}', "c2"), (4, 2, "c2", "sum", "[1]", "c1"), (5, 1, "n", "sum", None, "gone"),
-    ], "conv_id long, turn long, call_id string, name string, arguments string, parent string")
-    results = spark.createDataFrame([(1, 2, "x", "3"), (1, 4, "y", 'q"\n'), (9, 9, "lost", None), (2, 3, None, "?")], "conv_id long, turn long, call_id string, content string")
-    got = {(r["conv_id"], r["turn"]): r for r in chat.link_tool_calls(calls, results, s).collect()}
+        (4, 1, "c1", "sum", '{"a":1}', ["c2", "x"]), (4, 2, "c2", "sum", "[1]", ["c1"]), (4, 3, "c3", "sum", "{}", ["c2"]), (5, 1, "n", "sum", None, ["gone"]), (5, 2, "self", "sum", "{}", ["self"]),
+        (6, 1, "k1", "sum", '{"a":10,"o":{"p":"long","q":{}}}', []), (6, 2, "k2", "sum", '{"a":-1,"o":{"x":1,"q":{"r":1}}}', ["k1", "z"]), (6, 3, "k3", "sum", '{"a":1,"o":7,"u":{"v":1}}', ["k2", "k1"]),
+    ]
+    results = spark.createDataFrame([(1, 2, "x", "3"), (1, 4, "y", 'q"\n'), (9, 9, "lost", None), (2, 3, None, "?")], RESULT)
+    extra = spark.createDataFrame(calls, CALL).withColumns({"level": F.lit(7), "times": F.lit(1), "args": F.lit("a"), "fields": F.lit(0)})
+    got = {(r["conv_id"], r["turn"]): r for r in chat.link_tool_calls(extra, results, s).collect()}
     assert got[1, 1]["json"] == '{"arguments":{"a":2,"b":1.5},"id":"x","name":"sum","type":"call"}' and got[1, 1]["linked"]
     assert got[1, 3]["problems"] == ["type:a"] and got[1, 3]["level"] == 2 and got[1, 4]["level"] == 3 and got[1, 5]["level"] == 4
     assert got[1, 5]["problems"] == ["not json"] and '"arguments":null' in got[1, 5]["json"] and not got[1, 5]["linked"]
     assert got[1, 4]["json"] == '{"content":"q\\"\\n","id":"y","type":"result"}'
     assert got[2, 2]["problems"] == ["missing:a", "unknown:q", "duplicate id"] and got[2, 1]["problems"] == ["duplicate id"]
     assert got[3, 1]["problems"] == ["unknown tool"] and got[3, 1]["level"] is None
-    assert got[4, 1]["level"] is None and got[4, 2]["problems"] == ["not an object"] and got[5, 1]["level"] == 0
+    assert got[4, 1]["level"] is got[4, 2]["level"] is got[4, 3]["level"] is got[5, 2]["level"] is None
+    assert got[4, 2]["problems"] == ["not an object"] and got[5, 1]["level"] == 0
     assert got[9, 9]["problems"] == ["no call"] and got[2, 3]["problems"] == ["no call"]
+    assert got[6, 1]["problems"] == ["length:o.p", "maximum:a", "missing:o.q.r"] and got[6, 1]["level"] == 0
+    assert got[6, 2]["problems"] == ["minimum:a", "missing:o.p", "type:o.q.r", "unknown:o.x"] and got[6, 2]["level"] == 6
+    assert got[6, 3]["problems"] == ["type:o", "unknown:u"] and got[6, 3]["level"] == 8
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string, name string")
     assert chat.format_conversations(none).count() == 0
+    twice = spark.createDataFrame([(1, 0, "user", "long " * 100_000), (1, 0, "user", "long " * 100_000), (1, 1, "assistant", None)], "conv_id long, turn long, role string, text string")
+    rows = chat.format_conversations(twice).collect()
+    assert [r["problems"].split(",")[-1] for r in rows if r["kind"] == "call"] == ["duplicate id"] * 2 and len(rows[0]["json"]) > 500_000
+
+
+def test_equal_numbers_have_one_spelling(spark):
+    groups = [["1", "1.0", "1.00", "1e0", "10e-1", "0.1E1"], ["100", "1e2", "1E+2", "100.000"], ["0.5", "5e-1", "0.50"], ["-2500", "-2.5e3"], ["100000000000000000000", "1e20"], ["0", "0.0", "0e5"], ["1.5e-7", "0.00000015"], ["12345678901234567890123"]]
+    rows = [(k, f'{{"z":"1.0 \\\\\\" 2e1","a":[{x},{{"y":{x}}}]}}') for k, g in enumerate(groups) for x in g]
+    got = {}
+    for k, j in spark.createDataFrame(rows, "k int, j string").select("k", chat.canonical(F.parse_json("j"))).collect():
+        got.setdefault(k, set()).add(j)
+    assert all(len(x) == 1 for x in got.values()) and len({*itertools.chain(*got.values())}) == len(groups)
+    assert all(j.startswith('{"a":[') and j.endswith('"z":"1.0 \\\\\\" 2e1"}') for x in got.values() for j in x)
+
+
+def test_levels_are_longest_ways(spark):
+    """Random graphs, with long chains, cycles and calls behind them, against brute force."""
+    r = random.Random(3)
+    for n, most in ((60, 3), (40, 1)):
+        deps = {f"c{i}": [f"c{r.randrange(n) if r.random() < 0.04 else r.randrange(max(i, 1))}" for _ in range(r.randint(0, most))] for i in range(n)}
+        deps |= {f"l{i}": [f"l{i - 1}"] * (i > 0) for i in range(300)} | {"j": ["l299", "l7", "c0"], "k": ["j", "missing"]}
+
+        def way(x, seen=()):
+            if x in seen:
+                return None
+            below = [way(d, (*seen, x)) for d in deps[x] if d in deps]
+            return None if None in below else 1 + max(below, default=-1)
+
+        import sys
+
+        sys.setrecursionlimit(10_000)
+        got = {x["call_id"]: x["level"] for x in chat.levels(spark.createDataFrame(list(deps.items()), "call_id string, depends array<string>")).collect()}
+        assert got == {x: way(x) for x in deps}
 
 
 def encoded(rows):
