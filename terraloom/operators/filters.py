@@ -69,13 +69,19 @@ def parse_box(text: str | None) -> tuple[float, ...] | None:
 
 
 def z_bounds(track: DataFrame, z: str, below: float, above: float, low: float | None = None, high: float | None = None) -> tuple[float, float]:
-    """The gate around a track's heights; given values override. One aggregate row reaches the driver."""
+    """The gate around a track's heights; given values override. One aggregate row reaches the driver. A track without
+    heights has no gate: an error, unless both values are given."""
     row = track.agg(F.min(z), F.max(z)).first()
+    if row[0] is None:
+        if low is None or high is None:
+            raise ValueError("the track has no heights")
+        return low, high
     return row[0] - below if low is None else low, row[1] + above if high is None else high
 
 
 def funnel(df: DataFrame, by: str, steps: dict[str, Column], topics: DataFrame | None = None) -> DataFrame:
-    """Rows of each group that pass the first step, the first two, and so on; groups without rows count zero."""
+    """Rows of each group that pass the first step, the first two, and so on; groups without rows count zero. kept_pct is the
+    share of all rows that pass all steps; with steps after_range and after_ego, ego_pct is the share of rows in range that the box removes."""
     passed, aggs = F.lit(True), [F.count("*").alias("raw")]
     for name, test in steps.items():
         passed = passed & F.coalesce(test, F.lit(False))
@@ -83,6 +89,9 @@ def funnel(df: DataFrame, by: str, steps: dict[str, Column], topics: DataFrame |
     out = df.groupBy(by).agg(*aggs)
     if topics is not None:
         out = topics.select(by).distinct().join(out, by, "left").fillna(0)
+    names = list(steps)
+    if "after_range" in names and "after_ego" in names:
+        out = out.withColumn("ego_pct", F.round(100.0 * (F.col("after_range") - F.col("after_ego")) / F.greatest(F.col("after_range"), F.lit(1)), 4))
     return out.withColumn("kept_pct", F.round(100.0 * F.col(list(steps)[-1]) / F.greatest(F.col("raw"), F.lit(1)), 4))
 
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions import rotation
+from ..scratch import shuffle_width
 
 
 def asof_nearest(left: DataFrame, right: DataFrame, t: str, tolerance: int, right_t: str | None = None, right_seq: Sequence[str] = (), by: Sequence[str] = (), values: Sequence[str] = ()) -> DataFrame:
@@ -38,7 +40,13 @@ def asof_nearest(left: DataFrame, right: DataFrame, t: str, tolerance: int, righ
 
 
 def asof_forward(left: DataFrame, right: DataFrame, key: str, values: Sequence[str], by: Sequence[str] = (), right_order: Sequence[str] = ()) -> DataFrame:
-    """left with the values of the first right row whose key is at least its own, or else of the last right row."""
+    """left with the values of the first right row whose key is at least its own, or else of the last right row.
+
+    Without by, keys are cut into ranges of about as many right rows each, so that no task sorts all rows: a row whose own
+    range has no answer takes the first right row of a later one. One row a range reaches the driver.
+    """
+    if not by and (edges := _edges(right, key)):
+        return _forward_by_ranges(left, right, key, values, right_order, edges)
     item = F.struct(*[F.col(c) for c in values])
     order = F.struct(*right_order) if right_order else F.lit(0)
     r = right.select(*by, F.col(key).alias("__k"), F.lit(1).alias("__kind"), order.alias("__seq"), item.alias("__item"))
@@ -51,12 +59,45 @@ def asof_forward(left: DataFrame, right: DataFrame, key: str, values: Sequence[s
     return both.select("__row.*", *[F.coalesce(F.col(f"__next.{c}"), F.col(f"__last.__item.{c}")).alias(c) for c in values])
 
 
+def _edges(df: DataFrame, key: str) -> list[float]:
+    """Keys that cut the rows into ranges of about equal size, as many as a shuffle has parts."""
+    parts = shuffle_width(df.sparkSession)
+    return sorted(set(df.approxQuantile(key, [i / parts for i in range(1, parts)], 0.25 / parts))) if parts > 1 else []
+
+
+def _range_of(key: str, edges: list[float]) -> Column:
+    """The number of edges below the key."""
+    return F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e < F.col(key).cast("double")))
+
+
+def _forward_by_ranges(left: DataFrame, right: DataFrame, key: str, values: Sequence[str], right_order: Sequence[str], edges: list[float]) -> DataFrame:
+    order = F.struct(*right_order) if right_order else F.lit(0)
+    item = F.struct(F.col(key).alias("k"), order.alias("s"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(values)])
+    r = right.where(F.col(key).isNotNull()).select(_range_of(key, edges).alias("part"), item.alias("item"))
+    ends = {x["part"]: (x["lo"], x["hi"]) for x in r.groupBy("part").agg(F.min("item").alias("lo"), F.max("item").alias("hi")).collect()}
+    if not ends:
+        return left.withColumns({c: F.lit(None).cast(right.schema[c].dataType) for c in values})
+    kind = r.schema["item"].dataType
+    later = [(p, next((ends[q][0] for q in sorted(ends) if q > p), ends[max(ends)][1])) for p in range(len(edges) + 1)]
+    after = left.sparkSession.createDataFrame(later, StructType([StructField("part", IntegerType()), StructField("later", kind)]))
+    row = F.struct(*[F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(left.columns)])
+    q = left.select(_range_of(key, edges).alias("part"), F.col(key).alias("k"), F.lit(0).alias("kind"), row.alias("row"), F.lit(None).cast(kind).alias("item"))
+    both = q.unionByName(r.select("part", F.col("item.k").alias("k"), F.lit(1).alias("kind"), F.lit(None).cast(q.schema["row"].dataType).alias("row"), "item"))
+    ahead = Window.partitionBy("part").orderBy(F.desc("k"), F.desc("kind"), F.desc("item")).rowsBetween(Window.unboundedPreceding, -1)
+    both = both.withColumn("next", F.last("item", True).over(ahead)).where("kind = 0").join(F.broadcast(after), "part", "left")
+    pick = F.coalesce("next", "later")
+    own = [F.col("row").getField(f"f{i}").alias(c) for i, c in enumerate(left.columns) if c not in values]
+    return both.select(*own, *[pick.getField(f"v{i}").alias(c) for i, c in enumerate(values)])
+
+
 def apply_static(points: DataFrame, transforms: DataFrame, key: str, xyz: Sequence[str] = ("x", "y", "z")) -> DataFrame:
     """points with x, y, z moved by the transform of their key (r11 to r33, tx, ty, tz); identity where there is
-    none. Spark broadcasts the transforms while they are as small as its threshold."""
+    none. All columns of points stay, whatever their names. Spark broadcasts the transforms while they are as small as its threshold."""
     names = [f"r{i}{j}" for i in (1, 2, 3) for j in (1, 2, 3)]
-    joined = points.join(transforms.select(key, *names, "tx", "ty", "tz"), key, "left")
+    row = F.struct(*[F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(points.columns)])
+    joined = points.select(F.col(key).alias("key"), row.alias("row")).join(transforms.select(F.col(key).alias("key"), *names, "tx", "ty", "tz"), "key", "left")
+    at = {c: F.col("row").getField(f"f{i}") for i, c in enumerate(points.columns)}
     r = [[F.coalesce(F.col(f"r{i}{j}"), F.lit(float(i == j))) for j in (1, 2, 3)] for i in (1, 2, 3)]
     t = tuple(F.coalesce(F.col(c), F.lit(0.0)) for c in ("tx", "ty", "tz"))
-    moved = rotation.apply(r, tuple(F.col(c).cast("double") for c in xyz), t)
-    return joined.withColumns(dict(zip(xyz, moved))).drop(*names, "tx", "ty", "tz")
+    at.update(zip(xyz, rotation.apply(r, tuple(at[c].cast("double") for c in xyz), t)))
+    return joined.select(*[x.alias(c) for c, x in at.items()])

@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numeric import finite
+from ..scratch import materialise
 from .components import connected_components
 
 _FOUR, _EIGHT = ((1, 0), (0, 1)), tuple((a, b) for a in (-1, 0, 1) for b in (-1, 0, 1) if a or b)
@@ -18,11 +20,11 @@ def _shifted(offsets: Sequence[tuple[int, int]]) -> Column:
 
 
 def rasterise(points: DataFrame, cell: float, bounds: tuple[float, float, float, float], x: str = "x", y: str = "y") -> DataFrame:
-    """points with ix, iy: truncated cells from (x_min, x_max, y_min, y_max), clipped to the grid."""
+    """points with ix, iy: truncated cells from (x_min, x_max, y_min, y_max), clipped to the grid. Points without a finite place go."""
     x0, x1, y0, y1 = bounds
     size = lambda a, b: math.ceil((b - a) / cell) + 1
     at = lambda c, a, n: F.least(F.greatest(((F.col(c).cast("double") - F.lit(float(a))) / cell).cast("long"), F.lit(0)), F.lit(n - 1))
-    return points.withColumn("ix", at(x, x0, size(x0, x1))).withColumn("iy", at(y, y0, size(y0, y1)))
+    return points.where(finite(F.col(x)) & finite(F.col(y))).withColumn("ix", at(x, x0, size(x0, x1))).withColumn("iy", at(y, y0, size(y0, y1)))
 
 
 def box_smooth(grid: DataFrame, radius: int = 1) -> DataFrame:
@@ -65,31 +67,48 @@ def _fill(grid: DataFrame, least: int) -> DataFrame:
     return near.join(grid.select("ix", "iy"), ["ix", "iy"], "left_anti")
 
 
-def enclosed(grid: DataFrame, nx: int, ny: int) -> DataFrame:
-    """Empty cells of the nx * ny grid whose four-connected component doesn't reach the grid's border.
+def enclosed_runs(grid: DataFrame, nx: int, ny: int) -> DataFrame:
+    """(ix, lo, hi): runs of empty cells of the nx * ny grid whose four-connected component doesn't reach the grid's border.
+
+    Only gaps between populated cells of a column are looked at, as one row each: empty cells before the first and after the last
+    reach the border, and so does what touches those of the columns beside it.
+    """
+    column = Window.partitionBy("ix").orderBy("iy")
+    gaps = grid.select("ix", "iy", (F.lag("iy").over(column) + 1).alias("lo")).where("lo < iy").select("ix", "lo", (F.col("iy") - 1).alias("hi"))
+    ends = materialise(grid.groupBy("ix").agg(F.min("iy").alias("first"), F.max("iy").alias("last")))
+    side = lambda d, n: ends.select((F.col("ix") - d).alias("ix"), F.col("first").alias(f"f{n}"), F.col("last").alias(f"l{n}"))
+    out = lambda n: F.coalesce((F.col("lo") < F.col(f"f{n}")) | (F.col("hi") > F.col(f"l{n}")), F.lit(True))
+    gaps = gaps.join(side(-1, 0), "ix", "left").join(side(1, 1), "ix", "left")
+    edge = out(0) | out(1) | F.col("ix").isin(0, nx - 1) | (F.col("lo") <= 0) | (F.col("hi") >= ny - 1)
+    gaps = materialise(gaps.select("ix", "lo", "hi", edge.alias("edge"), _id(F.col("ix"), F.col("lo")).alias("id")))
+    beside = gaps.select((F.col("ix") - 1).alias("ix"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.col("id").alias("b"))
+    links = gaps.join(beside, "ix").where("lo <= hi2 AND lo2 <= hi").select(F.col("id").alias("a"), "b")
+    lab = materialise(gaps.join(connected_components(links).withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("root", "id")))
+    inner = materialise(lab.groupBy("label").agg(F.max("edge").alias("out")).where(~F.col("out")).select("label"))
+    return lab.join(inner, "label", "left_semi").select("ix", "lo", "hi")
 
-    Only the box of the populated cells is looked at, with a ring around it where the grid goes on: cells beyond are outside."""
-    b = grid.agg(F.min("ix").alias("x0"), F.max("ix").alias("x1"), F.min("iy").alias("y0"), F.max("iy").alias("y1"))
-    box = b.select(F.explode(F.sequence(F.greatest(F.col("x0") - 1, F.lit(0)), F.least(F.col("x1") + 1, F.lit(nx - 1)))).alias("ix"), "*").where("x0 IS NOT NULL")
-    box = box.select("ix", F.explode(F.sequence(F.greatest(F.col("y0") - 1, F.lit(0)), F.least(F.col("y1") + 1, F.lit(ny - 1)))).alias("iy"), "x0", "x1", "y0", "y1")
-    edge = (F.col("ix") < F.col("x0")) | (F.col("ix") > F.col("x1")) | (F.col("iy") < F.col("y0")) | (F.col("iy") > F.col("y1")) | (F.col("ix") == 0) | (F.col("ix") == nx - 1) | (F.col("iy") == 0) | (F.col("iy") == ny - 1)
-    empty = box.select("ix", "iy", edge.alias("edge")).join(grid.select("ix", "iy"), ["ix", "iy"], "left_anti")
-    lab = components(empty).join(empty, ["ix", "iy"])
-    inner = lab.groupBy("label").agg(F.max("edge").alias("edge")).where(~F.col("edge")).select("label")
-    return lab.join(inner, "label", "left_semi").select("ix", "iy")
+
+def enclosed(grid: DataFrame, nx: int, ny: int) -> DataFrame:
+    """(ix, iy): the cells of enclosed_runs()."""
+    return enclosed_runs(grid, nx, ny).select("ix", F.explode(F.sequence("lo", "hi")).alias("iy"))
 
 
 def fill_holes(grid: DataFrame, nx: int, ny: int, passes: int = 4, least: int = 3) -> DataFrame:
-    """Fills enclosed cells with enough of eight neighbours, all at once in each pass; enclosure is found anew."""
+    """Fills enclosed cells with enough of eight neighbours, all at once in each pass; enclosure is found anew.
+    Each pass is written, so that the grid is read from its source once."""
+    grid = materialise(grid.select("ix", "iy", "val"))
     for _ in range(passes):
-        new = _fill(grid, least).join(enclosed(grid, nx, ny), ["ix", "iy"], "left_semi")
-        grid = grid.select("ix", "iy", "val").unionByName(new.select("ix", "iy", "val"))
+        inner = enclosed_runs(grid, nx, ny).withColumnRenamed("ix", "jx")
+        new = _fill(grid, least)
+        new = new.join(inner, (new["ix"] == inner["jx"]) & new["iy"].between(inner["lo"], inner["hi"]), "left_semi")
+        grid = materialise(grid.unionByName(new.select("ix", "iy", "val")))
     return grid
 
 
 def thicken(grid: DataFrame, nx: int, ny: int, passes: int = 2) -> DataFrame:
-    """Fills cells of the nx * ny grid with two neighbours in the first pass, three in later ones."""
+    """Fills cells of the nx * ny grid with two neighbours in the first pass, three in later ones. Each pass is written."""
+    grid = materialise(grid.select("ix", "iy", "val"))
     for k in range(passes):
         new = _fill(grid, 2 if k == 0 else 3).where(F.col("ix").between(0, nx - 1) & F.col("iy").between(0, ny - 1))
-        grid = grid.select("ix", "iy", "val").unionByName(new.select("ix", "iy", "val"))
+        grid = materialise(grid.unionByName(new.select("ix", "iy", "val")))
     return grid

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import safe
+from ..functions.numeric import finite, safe
 
 
 def _order(by: Sequence[str], order: Sequence[str]):
@@ -38,33 +39,66 @@ def lane_offsets(track: DataFrame, by: Sequence[str], order: Sequence[str], half
     return t.withColumns(sides)
 
 
+def greedy(xyz: np.ndarray, kept: np.ndarray | None, step: float) -> list[int]:
+    """Places of the first point (if none is kept before) and of each point at least step from the one kept last."""
+    picks, at, ahead = [], 0, 64
+    if kept is None and len(xyz):
+        picks, kept, at = [0], xyz[0], 1
+    while at < len(xyz):
+        d = xyz[at : at + ahead] - kept
+        far = np.flatnonzero(np.sqrt(d[:, 0] ** 2 + d[:, 1] ** 2 + d[:, 2] ** 2) >= step)
+        if len(far):
+            at += int(far[0])
+            picks.append(at)
+            kept, at, ahead = xyz[at], at + 1, max(16, 2 * int(far[0]))
+        else:
+            at, ahead = at + ahead, min(2 * ahead, 1 << 14)
+    return picks
+
+
 def decimate(track: DataFrame, by: Sequence[str], order: Sequence[str], step: float, keep_last: bool = False) -> DataFrame:
     """Of each track the first point, and each at least step from the last one kept; with keep_last also the
     final point, unless it has the position of the last one kept. The state is one point, so that a
-    track streams through its task batch by batch, sorted by Spark, in bounded memory."""
-    schema = track.schema
-    sorted_ = track.repartition(*by).sortWithinPartitions(*by, *order)
-    names = list(by)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, kept, last, s2 = None, None, None, step
-        for pdf in batches:
-            if not len(pdf):
+    track streams through its task batch by batch, sorted by Spark, in bounded memory. Points without a finite place go."""
+    ok = finite(F.col("x")) & finite(F.col("y")) & finite(F.col("z"))
+    sorted_ = track.where(ok).withColumn("__key", F.struct(*by)).repartition("__key").sortWithinPartitions("__key", *order)
+    names = track.columns
+    places = [names.index(c) for c in "xyz"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, kept, last = None, None, None  # of the track that goes on: its key, the point kept last, its last row so far
+        for batch in batches:
+            if not len(batch):
                 continue
-            picks, extra = [], []
-            keys = list(zip(*(pdf[c] for c in names)))
-            for n, (k, p) in enumerate(zip(keys, zip(pdf["x"], pdf["y"], pdf["z"]))):
-                if k != key:
-                    if keep_last and last is not None and tuple(last[["x", "y", "z"]]) != kept:
-                        extra.append(last)
-                    key, kept = k, None
-                if kept is None or sum((a - b) ** 2 for a, b in zip(p, kept)) ** 0.5 >= s2:
-                    picks.append(n)
-                    kept = p
-                last = pdf.iloc[n]
-            out = pdf.iloc[picks]
-            yield pd.concat([out, pd.DataFrame(extra, columns=pdf.columns)]).astype(dict(pdf.dtypes)) if extra else out
-        if keep_last and last is not None and tuple(last[["x", "y", "z"]]) != kept:
-            yield pd.DataFrame([last])
-
-    return sorted_.mapInPandas(run, schema)
+            xyz = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.float64) for i in places], 1)
+            rows = pa.RecordBatch.from_arrays(batch.columns[: len(names)], names)
+            picks: list[int] = []
+            for a, b in _runs(batch.column(len(names))):
+                own = batch.column(len(names))[a].as_py()
+                if own != key:
+                    if keep_last and last is not None and tuple(last[1]) != tuple(kept):
+                        if a == 0:
+                            yield last[0]
+                        else:
+                            picks.append(a - 1)
+                    key, kept = own, None
+                found = [a + i for i in greedy(xyz[a:b], kept, step)]
+                picks += found
+                if found:
+                    kept = xyz[found[-1]]
+                last = rows.slice(b - 1, 1), xyz[b - 1]
+            yield rows.take(pa.array(picks, pa.int64()))
+        if keep_last and last is not None and tuple(last[1]) != tuple(kept):
+            yield last[0]
+
+    return sorted_.select(*names, "__key").mapInArrow(run, track.schema)
+
+
+def _runs(keys: pa.Array) -> list[tuple[int, int]]:
+    """[from, to) of the runs of equal keys."""
+    same = np.ones(max(len(keys) - 1, 0), bool)
+    for part in keys.flatten():
+        code = part.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        same &= code[1:] == code[:-1]
+    cuts = [0, *(np.flatnonzero(~same) + 1).tolist(), len(keys)]
+    return list(zip(cuts[:-1], cuts[1:]))

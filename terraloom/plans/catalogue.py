@@ -162,7 +162,7 @@ def z_gate(spark, sf):
 
 @query(f"""WITH {PTS}, f AS (SELECT l_linenumber, x * x + y * y + z * z BETWEEN CAST(400 AS FLOAT) AND CAST(2500 AS FLOAT) AS a, NOT ({_IN}) AS b, z <= 6 AS c FROM pts),
 g AS (SELECT l_linenumber, count(*) AS raw, count(*) FILTER (WHERE a) AS after_range, count(*) FILTER (WHERE a AND b) AS after_ego, count(*) FILTER (WHERE a AND b AND c) AS after_z FROM f GROUP BY 1)
-SELECT *, round(100.0 * after_z / greatest(raw, 1), 4)::DOUBLE AS kept_pct FROM g""")
+SELECT *, round(100.0 * (after_range - after_ego) / greatest(after_range, 1), 4)::DOUBLE AS ego_pct, round(100.0 * after_z / greatest(raw, 1), 4)::DOUBLE AS kept_pct FROM g""")
 def filter_funnel(spark, sf):
     return filters.funnel(points(spark, sf), "l_linenumber", {"after_range": filters.range_ok("x", "y", "z", 20, 50), "after_ego": ~filters.inside_box("xyz", BOX), "after_z": F.col("z") <= 6})
 
