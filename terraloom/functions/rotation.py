@@ -13,6 +13,11 @@ def product(a: Matrix, b: Matrix) -> Matrix:
     return [[a[i][0] * b[0][j] + a[i][1] * b[1][j] + a[i][2] * b[2][j] for j in range(3)] for i in range(3)]
 
 
+def compose(outer: Matrix, outer_t: Vector, inner: Matrix, inner_t: Vector) -> tuple[Matrix, Vector]:
+    """The rotation and shift of doing the inner transform, then the outer one."""
+    return product(outer, inner), apply(outer, inner_t, outer_t)
+
+
 def about(axis: int, degrees: Column) -> Matrix:
     """Rotation about axis 0 (x), 1 (y) or 2 (z)."""
     c, s, o, z = F.cos(F.radians(degrees)), F.sin(F.radians(degrees)), F.lit(1.0), F.lit(0.0)

@@ -70,6 +70,18 @@ def _range_of(key: str, edges: list[float]) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e < F.col(key).cast("double")))
 
 
+def running_number(df: DataFrame, key: str, order: Sequence[str], name: str) -> DataFrame:
+    """df with the number of each row, from 0, in the order given, which begins with the key. Rows are numbered within ranges of the
+    key and the counts of the ranges before added, one number a range, so that no task sorts all rows."""
+    df = df.withColumn("__part", _range_of(key, _edges(df, key)) if df.limit(1).count() else F.lit(0))
+    starts, total = {}, 0
+    for r in sorted(df.groupBy("__part").agg(F.count("*").alias("n")).collect()):
+        starts[r["__part"]], total = total, total + r["n"]
+    start = F.element_at(F.create_map(*[F.lit(x) for kv in starts.items() for x in kv]), F.col("__part")) if starts else F.lit(0)
+    own = F.row_number().over(Window.partitionBy("__part").orderBy(*order)) - 1
+    return df.withColumn(name, (own + start).cast("long")).drop("__part")
+
+
 def _forward_by_ranges(left: DataFrame, right: DataFrame, key: str, values: Sequence[str], right_order: Sequence[str], edges: list[float]) -> DataFrame:
     order = F.struct(*right_order) if right_order else F.lit(0)
     item = F.struct(F.col(key).alias("k"), order.alias("s"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(values)])

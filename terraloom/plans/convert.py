@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.filters import rename_frame, time_slice
+from ..operators.filters import rename_frame
+from ..operators.joins import running_number
 from ..sources import schema_text, sqlite_log
 from ..sources.decode import transforms_message
 
@@ -23,17 +24,18 @@ def convert(spark: SparkSession, src: str, dst: str, known: dict[str, schema_tex
     """Writes the log under dst (messages and schemas) and returns the messages written.
 
     The time slice is inclusive; a transform message is put in at the first time if there are transforms; sequence
-    numbers rise with time within each topic's rows as they stood in the source.
+    is the running number of a written message in order of time, then of the source's rows.
     """
     messages = sqlite_log.read_messages(spark, src)
-    if max_seconds:
-        messages = time_slice(messages, "timestamp", int(max_seconds * 1e9))
+    if max_seconds and (first := sqlite_log.bounds(messages).first()["t_min"]) is not None:
+        messages = sqlite_log.read_messages(spark, src, t_max=first + int(max_seconds * 1e9))
     chans = registered(sqlite_log.read_topics(spark, src), known)
     out = messages.join(chans.select(F.col("id").alias("topic_id"), "topic"), "topic_id")
     data = F.col("data")
     for topic, frame in ({SECOND_TOPIC: SECOND_FRAME} if rename is None else rename).items():
         data = F.when(F.col("topic") == topic, rename_frame(F.col("data"), frame)).otherwise(data)
-    out = out.select("topic", F.col("timestamp").alias("log_time"), F.col("timestamp").alias("publish_time"), F.col("row_id").alias("sequence"), data.alias("data"))
+    out = running_number(out.withColumn("data", data), "timestamp", ["timestamp", "row_id"], "sequence")
+    out = out.select("topic", F.col("timestamp").alias("log_time"), F.col("timestamp").alias("publish_time"), "sequence", "data")
     if transforms and (t0 := sqlite_log.bounds(messages).first()["t_min"]) is not None:
         one = spark.createDataFrame([(STATIC_TOPIC, t0, t0, 0, bytearray(transforms_message(t0, transforms)))], out.schema)
         out = out.unionByName(one)

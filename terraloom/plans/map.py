@@ -30,9 +30,13 @@ class MapOptions:
     max_scans: int = 0
 
 
-def origin(poses: DataFrame) -> LocalFrame:
-    """The first usable pose; an error if there is none."""
-    row = filters.quality(poses, "position_type").orderBy("t_ns").select("latitude", "longitude", "altitude").first()
+def origin(poses: DataFrame, given: Sequence[float | None] = (None, None, None), accept_all: bool = False) -> LocalFrame:
+    """The given latitude, longitude and altitude, all or none of them, else the first usable pose; an error if there is none."""
+    if any(x is not None for x in given):
+        if any(x is None for x in given):
+            raise ValueError("an origin takes latitude, longitude and altitude")
+        return LocalFrame(*map(float, given))
+    row = filters.quality(poses, "position_type", accept_all=accept_all).orderBy("t_ns").select("latitude", "longitude", "altitude").first()
     if row is None:
         raise ValueError("the log has no usable pose")
     return LocalFrame(*row)

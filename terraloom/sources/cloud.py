@@ -7,8 +7,11 @@ import os
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from .parts import write_parts
+
 _NEED = {"FIELDS": "x y z intensity", "SIZE": "4 4 4 4", "TYPE": "F F F F", "DATA": "binary"}
 
 
@@ -83,17 +86,8 @@ def read_cloud(spark: SparkSession, path: str, rows_per_partition: int = 4_000_0
 
 
 def write_cloud(points: DataFrame, path: str, order: str = "key") -> int:
-    """One file in the given order; rows stream to the driver partition by partition. Returns the number of points."""
-    n = points.count()
+    """One file in the given order, from parts that tasks write. Returns the number of points."""
     os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
-    with open(path, "wb") as f:
-        f.write(header(n))
-        block: list = []
-        for r in points.orderBy(order).select(*[points[c].cast("float") for c in ("x", "y", "z", "i")]).toLocalIterator(prefetchPartitions=True):
-            block.append(tuple(r))
-            if len(block) >= 1 << 16:
-                f.write(np.array(block, "<f4").tobytes())
-                block = []
-        if block:
-            f.write(np.array(block, "<f4").tobytes())
-    return n
+    names = ("x", "y", "z", "i")
+    render = lambda batch: np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype("<f4") for k in range(4)], 1).tobytes()
+    return write_parts(points.select(F.col(order).alias("__order"), *[F.col(c).cast("float").alias(c) for c in names]), ["__order"], names, path, render, header)

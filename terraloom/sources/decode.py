@@ -118,3 +118,35 @@ def explode_scans(scans: DataFrame, keep: Sequence[str] = ("topic", "log_time"))
                     yield pa.RecordBatch.from_arrays([*(batch.column(i).take(idx) for i in range(k)), pa.array(np.arange(len(xyzi), dtype=np.int32)), *(pa.array(np.ascontiguousarray(xyzi[:, j])) for j in range(4))], [*keep, "pt_idx", "x", "y", "z", "i"])
 
     return scans.select(*keep, *[F.col(c).cast("int") for c in ("height", "width", "point_step")], "data").mapInArrow(run, f"{kinds}, pt_idx int, x float, y float, z float, i float")
+
+
+def scan_headers(messages: DataFrame, keep: Sequence[str] = ("topic", "log_time")) -> DataFrame:
+    """The kept columns, frame_id, height, width, point_step and data (the points' bytes) of scan messages; null and broken payloads go."""
+    kinds = ", ".join(f"{c} {messages.schema[c].dataType.simpleString()}" for c in keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        for batch in batches:
+            rows = []
+            for i, raw in enumerate(batch.column(len(keep)).to_pylist()):
+                try:
+                    r = CdrReader(raw)
+                    head = r.record(SCAN)
+                    n = r.scalar("uint32")
+                except (struct.error, TypeError):
+                    continue
+                rows.append((i, head["header"]["frame_id"], head["height"], head["width"], head["point_step"], raw[r.at : r.at + n]))
+            at, *cols = (pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, kind))
+            yield pa.RecordBatch.from_arrays([*(c.take(at) for c in batch.columns[: len(keep)]), *cols], [*keep, "frame_id", "height", "width", "point_step", "data"])
+
+    return messages.select(*keep, "data").mapInArrow(run, f"{kinds}, frame_id string, height long, width long, point_step long, data binary")
+
+
+def static_transforms(messages: DataFrame, topic: str = "/tf_static") -> DataFrame:
+    """(parent, child, tx, ty, tz, qx, qy, qz, qw) of the first transform message in the log: that topic's is latched, so one is
+    enough. Of a child that stands twice the last counts; no message gives an empty table."""
+    schema = "struct<transforms: array<struct<header: struct<sec: int, nanosec: bigint, frame_id: string>, child_frame_id: string, tx: double, ty: double, tz: double, qx: double, qy: double, qz: double, qw: double>>>"
+    first = messages.where(F.col("topic") == topic).orderBy("log_time", "sequence").limit(1)
+    each = decode_records(first, TRANSFORMS, schema).select(F.posexplode("rec.transforms").alias("pos", "t"))
+    last = each.groupBy(F.col("t.child_frame_id").alias("child")).agg(F.max_by("t", "pos").alias("t"))
+    return last.select(F.col("t.header.frame_id").alias("parent"), "child", *[f"t.{c}" for c in ("tx", "ty", "tz", "qx", "qy", "qz", "qw")])

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import mesh
+from .parts import lines, write_parts
 
 TRACK = ["t_ns", "x_enu_m", "y_enu_m", "z_enu_m"]
 
@@ -26,17 +27,8 @@ def read_track(spark: SparkSession, path: str) -> DataFrame:
 def write_track(track: DataFrame, path: str) -> None:
     """All poses in order of time, coordinates with four digits."""
     fixed = [F.format_string("%.4f", c).alias(n) for c, n in zip("xyz", TRACK[1:])]
-    write_lines(track.orderBy("t_ns").select(F.concat_ws(",", F.col("t_ns").cast("string"), *fixed).alias("line")), path, ",".join(TRACK))
-
-
-def write_lines(lines: DataFrame, path: str, first: str | None = None) -> None:
-    """The rows' lines in their order, through the driver partition by partition."""
     os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
-        if first is not None:
-            f.write(first + "\n")
-        for r in lines.toLocalIterator():
-            f.write(r[0] + "\n")
+    write_parts(track.select("t_ns", F.concat_ws(",", F.col("t_ns").cast("string"), *fixed).alias("line")), ["t_ns"], ["line"], path, lines, lambda n: (",".join(TRACK) + "\n").encode())
 
 
 def read_transforms(spark: SparkSession, path: str, skip: tuple[str, ...] = ("imu", "pp7_odom")) -> DataFrame:
@@ -52,16 +44,15 @@ def write_origin(path: str, lat: float, lon: float, alt: float) -> None:
         f.write(f"origin:\n  latitude: {lat:.10f}\n  longitude: {lon:.10f}\n  altitude: {alt:.4f}\nframe: ENU\n")
 
 
-def write_mesh(vertices: DataFrame, faces: DataFrame, path: str) -> None:
-    """Vertices, then normals, then faces from 1. Faces must name vertices that exist."""
+def write_mesh(vertices: DataFrame, faces: DataFrame, path: str, name: str = "mesh") -> None:
+    """The object's name, vertices, then normals, then faces from 1. Faces must name vertices that exist."""
     known = vertices.select("vid")
     if faces.select(F.explode(F.array("a", "b", "c")).alias("vid")).join(known, "vid", "left_anti").limit(1).count():
         raise ValueError("a face names a vertex that isn't there")
     normals = "nx" in vertices.columns
-    write_lines(mesh.obj_vertices(vertices).orderBy("ord").select("line"), path)
-    with open(path, "a", encoding="utf-8") as f:
-        for r in mesh.obj_faces(faces, normals).orderBy("cls", "ix", "iy").select("line").toLocalIterator():
-            f.write(r[0] + "\n")
+    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
+    write_parts(mesh.obj_vertices(vertices), ["ord"], ["line"], path, lines, lambda n: f"# terraloom\no {name}\n".encode())
+    write_parts(mesh.obj_faces(faces, normals), ["cls", "ix", "iy"], ["line"], path, lines, append=True)
 
 
 #: The tags of a lane's relation and ways.
@@ -69,20 +60,23 @@ LANE_TAGS = {"type": "lanelet", "subtype": "road", "location": "urban", "one_way
 LINE_TAGS = {"type": "line_thin", "subtype": "solid"}
 
 
-def lane_graph(left: list[tuple], right: list[tuple], centre: list[tuple], generator: str = "terraloom", tags: dict | None = None) -> str:
-    """The XML of one lane from its three lines of (lat, lon, alt): nodes, ways, relation, numbered in this order."""
+def lane_graph(left: list[tuple], right: list[tuple], centre: list[tuple], generator: str = "terraloom", tags: dict | None = None, origin: tuple[float, float, float] | None = None) -> str:
+    """The XML of one lane from its three lines of (lat, lon, alt): nodes, ways, relation, numbered in this order; with an
+    origin (lat, lon, alt) as a comment."""
     if len(centre) < 2:
         raise ValueError("a lane takes two points at least")
-    out, lines, n = ["<?xml version='1.0' encoding='utf-8'?>", f"<osm version=\"0.6\" generator={quoteattr(generator)}>"], [], 0
+    out, ways_of, n = ["<?xml version='1.0' encoding='utf-8'?>", f"<osm version=\"0.6\" generator={quoteattr(generator)}>"], [], 0
+    if origin:
+        out.append("  <!-- Map origin: lat={:.10f} lon={:.10f} alt={:.3f} -->".format(*origin))
     for line in (left, right, centre):
         ids = []
         for lat, lon, alt in line:
             n += 1
             ids.append(n)
             out.append(f'  <node id="{n}" visible="true" version="1" lat="{lat:.12f}" lon="{lon:.12f}">\n    <tag k="ele" v="{alt:.3f}" />\n  </node>')
-        lines.append(ids)
+        ways_of.append(ids)
     ways = []
-    for ids, own in zip(lines, (LINE_TAGS, LINE_TAGS, {"type": "centerline"})):
+    for ids, own in zip(ways_of, (LINE_TAGS, LINE_TAGS, {"type": "centerline"})):
         n += 1
         ways.append(n)
         refs = "".join(f'\n    <nd ref="{i}" />' for i in ids) + "".join(f"\n    <tag k={quoteattr(k)} v={quoteattr(v)} />" for k, v in own.items())
@@ -93,6 +87,11 @@ def lane_graph(left: list[tuple], right: list[tuple], centre: list[tuple], gener
     return "\n".join([*out, "</osm>"]) + "\n"
 
 
+def write_lane_graph(path: str, left: list[tuple], right: list[tuple], centre: list[tuple], **how) -> None:
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(lane_graph(left, right, centre, **how))
+
+
 #: Layer, tag and material of each mesh.
 MESHES = {"ground.obj": ("Ground", "asphalt"), "wall_left.obj": ("Wall", "rock"), "wall_right.obj": ("Wall", "metal")}
 

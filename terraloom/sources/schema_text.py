@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from dataclasses import dataclass, field
 
@@ -84,3 +85,50 @@ def ddl(root: str, known: dict[str, Definition]) -> str:
         return f"array<{inner}>" if bound else inner
 
     return "struct<" + ",".join(f"{n}:{one(k, b)}" for n, k, b in known[root].fields) + ">"
+
+
+def parse_text(name: str, text: str) -> dict[str, Definition]:
+    """All definitions of a schema text, the named one first."""
+    first, *rest = re.split(rf"^{RULE}\n", text, flags=re.M)
+    out = {name: parse(name, first)}
+    for block in rest:
+        head, _, own = block.partition("\n")
+        package, _, short = head.removeprefix("MSG:").strip().partition("/")
+        full = f"{package}/msg/{short}"
+        out[full] = parse(full, own)
+    return out
+
+
+def layout(root: str, known: dict[str, Definition]) -> list[tuple]:
+    """The definition's fields as decode.CdrReader reads them."""
+    def one(kind: str, bound: str):
+        inner = kind if kind in BASES else layout(kind, known)
+        return (inner, int(bound[1:-1]) if bound[1:-1].isdigit() else None) if bound else inner
+
+    return [(n, one(k, b)) for n, k, b in known[root].fields]
+
+
+#: The common message types that logs of this kind use.
+STOCK = {
+    "builtin_interfaces/msg/Time": "int32 sec\nuint32 nanosec",
+    "std_msgs/msg/Header": "builtin_interfaces/Time stamp\nstring frame_id",
+    "geometry_msgs/msg/Vector3": "float64 x\nfloat64 y\nfloat64 z",
+    "geometry_msgs/msg/Quaternion": "float64 x\nfloat64 y\nfloat64 z\nfloat64 w",
+    "geometry_msgs/msg/Transform": "Vector3 translation\nQuaternion rotation",
+    "geometry_msgs/msg/TransformStamped": "std_msgs/Header header\nstring child_frame_id\nTransform transform",
+    "tf2_msgs/msg/TFMessage": "geometry_msgs/TransformStamped[] transforms",
+    "sensor_msgs/msg/PointField": "string name\nuint32 offset\nuint8 datatype\nuint32 count",
+    "sensor_msgs/msg/PointCloud2": "std_msgs/Header header\nuint32 height\nuint32 width\nPointField[] fields\nbool is_bigendian\nuint32 point_step\nuint32 row_step\nuint8[] data\nbool is_dense",
+    "sensor_msgs/msg/Imu": "std_msgs/Header header\ngeometry_msgs/Quaternion orientation\nfloat64[9] orientation_covariance\ngeometry_msgs/Vector3 angular_velocity\nfloat64[9] angular_velocity_covariance\ngeometry_msgs/Vector3 linear_acceleration\nfloat64[9] linear_acceleration_covariance",
+}
+
+
+def typestore(folder: str | None = None, package: str = "") -> dict[str, Definition]:
+    """The stock types, and those of a folder of Name.msg files as package/msg/Name: vendors' layouts are the user's files."""
+    known = {name: parse(name, text) for name, text in STOCK.items()}
+    for file in sorted(os.listdir(folder)) if folder else ():
+        if file.endswith(".msg"):
+            name = f"{package}/msg/{file[:-4]}"
+            with open(os.path.join(folder, file), encoding="utf-8") as f:
+                known[name] = parse(name, f.read())
+    return known

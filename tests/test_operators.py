@@ -1,4 +1,5 @@
 import math
+import os
 import sqlite3
 import struct
 
@@ -11,6 +12,7 @@ from terraloom.operators import components, filters, joins, mesh, raster, spatia
 from terraloom.plans import convert
 from terraloom.plans import map as map_plan
 from terraloom.plans import mesh as mesh_plan
+from terraloom.plans import stages
 from terraloom.sources import cloud, decode, files, schema_text, sqlite_log
 
 
@@ -261,3 +263,141 @@ def test_voxel_stream_equals_batch(spark, tmp_path):
     q = voxel_stream(src).writeStream.outputMode("complete").format("memory").queryName("vox").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert rows(spark.table("vox")) == rows(voxel.voxel_mean(df))
+
+
+def payload(*values):
+    w = decode.CdrWriter()
+    for kind, v in values:
+        w.scalar(kind, v)
+    return bytes(w.data)
+
+
+def test_stages_from_log_to_meshes(spark, tmp_path):
+    """A SQLite log with poses in a vendor's layout through all three stages; files, numbers and a stale wall."""
+    n, rng = 40, np.random.default_rng(0)
+    (tmp_path / "types").mkdir()
+    (tmp_path / "types" / "Fix.msg").write_text("# a pose\nstd_msgs/Header header\nstring position_type\nfloat64 latitude\nfloat64 longitude\nfloat64 altitude\nfloat64 roll\nfloat64 pitch\nfloat64 azimuth\nuint8[] tail\n")
+    known = schema_text.typestore(str(tmp_path / "types"), "vendor")
+    db = str(tmp_path / "log.db3")
+    with sqlite3.connect(db) as con:
+        con.execute("CREATE TABLE topics(id INTEGER, name TEXT, type TEXT, serialization_format TEXT, offered_qos_profiles TEXT)")
+        con.execute("CREATE TABLE messages(topic_id INTEGER, timestamp INTEGER, data BLOB)")
+        con.executemany("INSERT INTO topics VALUES (?,?,?,?,?)", [(1, "/fix", "vendor/msg/Fix", "cdr", ""), (2, "/l", "sensor_msgs/msg/PointCloud2", "cdr", ""), (3, "/x", "no/msg/Type", "cdr", "")])
+        for k in range(n):
+            pose = payload(("int32", k), ("uint32", 0), ("string", "imu"), ("string", "NARROW_INT" if k else "NONE"), *(("float64", v) for v in (45.0 + k * 2e-5, 7.0, 300.0, 0.0, 0.0, 0.0)), ("uint32", 1), ("uint8", 7))
+            pts = [(float(x), float(y), -1.5, 1.0) for x, y in rng.uniform(-9, 9, (60, 2))] + [(float(x), 8.0, float(z), 1.0) for x, z in rng.uniform(-4, 4, (40, 2))] + [(float("nan"), 1.0, 1.0, 1.0)]
+            con.executemany("INSERT INTO messages VALUES (?,?,?)", [(3, k * 10_000_000, b""), (1, k * 10_000_000, pose), (2, k * 10_000_000 + 3, scan_payload("lidar", pts))])
+    log = stages.convert_log(spark, db, str(tmp_path / "log"), known, [("imu", "lidar", [9, 9, 9], [0, 0, 0, 1]), ("imu", "lidar", [0, 0, 0.5], [0, 0, 0, 1])])
+    got = log.where("topic <> '/tf_static'").orderBy("sequence").select("sequence", "log_time").collect()
+    assert [r["sequence"] for r in got] == list(range(2 * n)) and [r["log_time"] for r in got] == sorted(r["log_time"] for r in got)
+    tf = decode.static_transforms(log).collect()
+    assert [(r["parent"], r["child"], r["tx"], r["tz"]) for r in tf] == [("imu", "lidar", 0.0, 0.5)]
+    out = tmp_path / "map"
+    report = stages.build_map(spark, str(tmp_path / "log"), str(out), "/fix", ["/l", "/none"], map_plan.MapOptions(every=1), rejected=True).collect()
+    report = {r["topic"]: r for r in report}
+    one = report["/l"]
+    assert report["/none"]["raw"] == 0 and one["raw"] == n * 101 > one["after_range"] >= one["after_ego"] >= one["after_z"] > 0
+    assert sorted(os.listdir(out)) == ["ego_returns.pcd", "lanelet2_map.osm", "map_origin.yaml", "pointcloud_map.pcd", "trajectory_enu.csv"]
+    assert "latitude: 45.0000200000" in (out / "map_origin.yaml").read_text() and "Map origin: lat=45.0000200000" in (out / "lanelet2_map.osm").read_text()
+    assert files.read_track(spark, str(out / "trajectory_enu.csv")).count() == n - 1
+    keys = [r["key"] for r in voxel.voxel_sums(cloud.read_cloud(spark, str(out / "pointcloud_map.pcd")), 0.2).collect()]
+    assert len(keys) == cloud.read_cloud(spark, str(out / "pointcloud_map.pcd")).count() > 100
+    with pytest.raises(ValueError):
+        map_plan.origin(spark.createDataFrame([], "t_ns long"), (1.0, None, 2.0))
+    made_dir = tmp_path / "meshes"
+    made_dir.mkdir()
+    for side in ("left", "right"):
+        (made_dir / f"wall_{side}.obj").write_text("stale")
+    opts = mesh_plan.MeshOptions(k=6, ground_min=5, wall_min=3, ground_cell=1.0, ground_fill=1)
+    made = stages.build_meshes(spark, str(out / "pointcloud_map.pcd"), str(out / "trajectory_enu.csv"), str(made_dir), opts)
+    assert set(made) >= {"ground.obj"} and len(made) < 3
+    assert sorted(os.listdir(made_dir)) == sorted([*made, "meshes_manifest.yaml", "meshes_summary.txt"])
+    for name, info in made.items():
+        lines = (made_dir / name).read_text().split("\n")
+        assert lines[1].startswith("o ") and sum(x.startswith("v ") for x in lines) == sum(x.startswith("vn ") for x in lines) == info["vertices"] and sum(x.startswith("f ") for x in lines) == info["triangles"] > 0
+
+
+def test_log_bounds_go_to_the_file(spark, tmp_path):
+    db = str(tmp_path / "log.db3")
+    with sqlite3.connect(db) as con:
+        con.execute("CREATE TABLE messages(topic_id INTEGER, timestamp INTEGER, data BLOB)")
+        con.executemany("INSERT INTO messages VALUES (?,?,?)", [(1, k, None if k % 3 else b"x") for k in range(100)])
+    assert sqlite_log.read_messages(spark, db, 3, t_min=10, t_max=19).count() == 10
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        got = sqlite_log.read_messages(spark, db).where("timestamp > 89 AND topic_id = 1 AND data IS NULL")
+        assert sorted(r["timestamp"] for r in got.collect()) == [k for k in range(90, 100) if k % 3]
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
+def test_points_without_a_place(spark):
+    """NaN and null coordinates: no neighbours and no cell, and everything ends."""
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(i, float(i % 5), float(i // 5), 0.1 * i) for i in range(25)] + [(90, nan, 0.0, 0.0), (91, 0.0, None, 0.0), (92, inf, 0.0, 0.0)], "id long, x double, y double, z double")
+    found = spatial.knn(df, 4)
+    assert found.count() == 100 and found.where("id >= 90 OR other >= 90").count() == 0
+    assert raster.rasterise(df, 1.0, (0.0, 4.0, 0.0, 4.0)).count() == 25
+    assert spatial.verticality(df, 4).count() == 25
+    assert track.decimate(df.withColumn("t", F.lit("a")), ["t"], ["id"], 0.5).where("id >= 90").count() == 0
+    with pytest.raises(ValueError):
+        filters.z_bounds(df.limit(0), "z", 1.0, 1.0)
+    assert filters.z_bounds(df.limit(0), "z", 1.0, 1.0, -3.0, 9.0) == (-3.0, 9.0)
+
+
+def test_own_columns_of_points_may_clash(spark):
+    v = spark.createDataFrame([(7, 0.0, 0.0, 5.0, 0.0, 1.0, 0.0), (8, 4.0, 0.0, 5.0, 4.0, 1.0, 0.0)], "idx long, x double, y double, z double, along double, tx double, ty double")
+    p = spark.createDataFrame([(1, 0.5, 0.5, 5.0, 99, 1.0, "k"), (1, 3.9, -0.5, 5.0, 99, 2.0, "k"), (2, 50.0, 0.0, 5.0, 99, 3.0, "k")], "id long, x double, y double, z double, idx int, tx double, k string")
+    near = {(r["id"], r["x"]): (r["idx"], r["tx"]) for r in spatial.nearest_vertex(p, v, 2.0, "id").collect()}
+    assert near == {(1, 0.5): (7, 1.0), (1, 3.9): (8, 2.0)}  # rows that share an id both stay
+    assert {r["nearest_idx"]: r["signed_lat"] for r in spatial.corridor(p, v, 2.0).collect()} == {7: 0.5, 8: -0.5}
+    tf = spark.createDataFrame([("k", *np.eye(3).ravel().tolist(), 10.0, 0.0, 0.0)], "k string, " + ", ".join(f"r{i}{j} double" for i in (1, 2, 3) for j in (1, 2, 3)) + ", tx double, ty double, tz double")
+    moved = joins.apply_static(p.withColumn("r11", F.lit(3)), tf, "k")
+    assert moved.columns == [*p.columns, "r11"] and {(r["x"], r["tx"], r["r11"]) for r in moved.collect()} == {(10.5, 1.0, 3), (13.9, 2.0, 3), (60.0, 3.0, 3)}
+
+
+def test_asof_forward_by_ranges(spark):
+    rng = np.random.default_rng(8)
+    r = [(float(k), i) for i, k in enumerate(rng.integers(0, 500, 400))]
+    q = [(i, float(k)) for i, k in enumerate(rng.integers(-20, 540, 300))]
+    got = dict(rows(joins.asof_forward(spark.createDataFrame(q, "id int, k double"), spark.createDataFrame(r, "k double, v int"), "k", ["v"], (), ["v"]).select("id", "v")))
+    for i, k in q:
+        after = [x for x in r if x[0] >= k]
+        assert got[i] == (min(after) if after else max(r))[1]
+    assert rows(joins.running_number(spark.createDataFrame(q, "id int, k double"), "k", ["k", "id"], "n").select("n", "k", "id")) == [(n, k, i) for n, (k, i) in enumerate(sorted((k, i) for i, k in q))]
+
+
+def test_enclosed_cells_against_flood_fill(spark):
+    rng = np.random.default_rng(12)
+    for shape, share in (((14, 17), 0.45), ((9, 30), 0.6)):
+        full = rng.random(shape) < share
+        want, todo = ~full, [(i, j) for i in range(shape[0]) for j in range(shape[1]) if not full[i, j] and (i in (0, shape[0] - 1) or j in (0, shape[1] - 1))]
+        while todo:
+            i, j = todo.pop()
+            if 0 <= i < shape[0] and 0 <= j < shape[1] and want[i, j]:
+                want[i, j] = False
+                todo += [(i + 1, j), (i - 1, j), (i, j + 1), (i, j - 1)]
+        g = spark.createDataFrame([(int(i), int(j), 1.0) for i, j in zip(*np.nonzero(full))], "ix long, iy long, val double")
+        assert rows(raster.enclosed(g, *shape)) == [(int(i), int(j)) for i, j in zip(*np.nonzero(want))]
+    assert raster.enclosed(g.limit(0), 5, 5).count() == 0
+
+
+def test_transforms_file_and_decimated_stream(spark, tmp_path):
+    from terraloom.streaming import decimate_stream
+
+    (tmp_path / "tf.yaml").write_text("reference_frame: base\nsensors:\n  imu: {translation_m: [0, 0, 0], rotation_quat_xyzw: [0, 0, 0, 1]}\n  front: {translation_m: [1, 2, 3], rotation_quat_xyzw: [0, 0, 0, 1], child_frame_id: lidar}\n  back: {parent: front, translation_m: [0, 0, 1], rotation_quat_xyzw: [0, 0, 1, 0]}\n")
+    assert rows(files.read_transforms(spark, str(tmp_path / "tf.yaml")).select("parent", "child", "ty", "qz")) == [("base", "lidar", 2.0, 0.0), ("front", "back", 0.0, 1.0)]
+    r, t = rotation.compose(rotation.about(2, F.lit(90.0)), (F.lit(1.0), F.lit(0.0), F.lit(0.0)), rotation.about(2, F.lit(-90.0)), (F.lit(0.0), F.lit(2.0), F.lit(0.0)))
+    got = spark.range(1).select(*rotation.columns(r), *[c.alias(n) for c, n in zip(t, "xyz")]).first()
+    assert np.allclose(list(got), [1, 0, 0, 0, 1, 0, 0, 0, 1, -1, 0, 0])
+    df = spark.createDataFrame([("a" if k % 3 else "b", k, k * 0.7, 0.0, 0.0) for k in range(60)], "trk string, n int, x double, y double, z double")
+    for part in range(3):
+        df.where(f"n >= {20 * part} AND n < {20 * part + 20}").coalesce(1).write.parquet(str(tmp_path / "in" / f"p{part}"))
+    src = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in" / "*"))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        q = decimate_stream(src, "trk", ["n"], 2.5).writeStream.format("memory").queryName("thin").trigger(availableNow=True).start()
+        q.awaitTermination(120)
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert rows(spark.table("thin"), "trk", "n") == rows(track.decimate(df, ["trk"], ["n"], 2.5), "trk", "n")
