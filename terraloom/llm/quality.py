@@ -24,14 +24,17 @@ BLANK = " \t\n\x0b\f\r"
 @dataclass(frozen=True)
 class Rules:
     """Limits of the verdict. Distances are Jensen-Shannon distances to base 2, from 0 to 1; shorter texts than the guards
-    aren't compared. `languages` bounds the references, which are pooled over all documents of a language."""
+    aren't compared. The words' limit widens for short texts, whose histograms scatter: max_word_distance + word_slack /
+    sqrt(words). `languages` bounds the references, which are pooled over all documents of a language with reference_words or more."""
 
     min_words: int = 20
     max_repeat_percent: int = 30
     guard_chars: int = 300
-    guard_words: int = 120
+    guard_words: int = 20
+    reference_words: int = 120
     max_char_distance: float = 0.28
-    max_word_distance: float = 0.30
+    max_word_distance: float = 0.20
+    word_slack: float = 1.2
     languages: tuple[str, ...] = field(default=("en", "de", "fr", "es"))
 
 
@@ -70,10 +73,11 @@ def features(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = (
     df = df.withColumn("__c", codes)
     count = lambda c: (F.length("__c") - F.length(F.replace(F.col("__c"), F.lit(c), F.lit("")))).cast("long")
     bins = [count(c) for c in _CODES[: len(COMMON_WORDS)]]
-    solid = F.length(F.translate("__t", BLANK, "")).cast("long")
-    n_symbols = _kept_length(F.col("__t"), "[^#*$%&|<>]+")
-    upper, digit, wide = (_kept_length(F.col("__t"), f"[{c}]+") for c in ("^A-Z", "^0-9", "\\x00-\\x7F"))
-    marks = _kept_length(F.col("__t"), "[^!\"'()+,\\-./:;=?@\\[\\\\\\]^_`{}~]+")
+    df = df.withColumn("__r", F.regexp_replace("__t", "[a-z\\x20\\x09-\\x0D]+", ""))  # a small part of a text has the rarer classes
+    solid = F.length(F.array_join("__w", "")).cast("long")
+    n_symbols = _kept_length(F.col("__r"), "[^#*$%&|<>]+")
+    upper, digit, wide = (_kept_length(F.col("__r"), f"[{c}]+") for c in ("^A-Z", "^0-9", "\\x00-\\x7F"))
+    marks = _kept_length(F.col("__r"), "[^!\"'()+,\\-./:;=?@\\[\\\\\\]^_`{}~]+")
     df = df.select(*carry, F.col("__n").cast("long").alias("n_words"), F.length("__t").cast("long").alias("__len"), solid.alias("word_chars"), n_symbols.alias("n_symbols"), (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long").alias("n_dup_lines"), F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"), wide.alias("__wi"), upper.alias("__up"), digit.alias("__di"), marks.alias("__ma"), F.array(*bins).alias("__b"), F.length("__c").cast("long").alias("__k"))
     lower = F.col("word_chars") - F.col("__up") - F.col("__di") - F.col("__ma") - F.col("n_symbols") - F.col("__wi")
     chars = F.array(lower, "__up", "__di", "__ma", "n_symbols", F.col("__len") - F.col("word_chars"), "__wi")
@@ -88,7 +92,7 @@ def references(found: DataFrame, lang_col: str, rules: Rules) -> list[tuple[list
     """Pooled histograms over all documents of each language that pass the base rules and the guard: a few rows."""
     size = 7, len(COMMON_WORDS) + 1
     sums = [F.sum(F.col(c)[i]).alias(f"{c}{i}") for c, n in zip(("chars", "words"), size) for i in range(n)]
-    ok = found.where(F.col(lang_col).isin(*rules.languages) & ~base_failed(rules) & (F.col("n_words") >= rules.guard_words))
+    ok = found.where(F.col(lang_col).isin(*rules.languages) & ~base_failed(rules) & (F.col("n_words") >= rules.reference_words))
     rows = ok.groupBy(lang_col).agg(*sums).orderBy(lang_col).collect()
     return [([r[f"chars{i}"] for i in range(size[0])], [r[f"words{i}"] for i in range(size[1])]) for r in rows]
 
@@ -110,7 +114,7 @@ def judge(found: DataFrame, refs: list[tuple[list[int], list[int]]], rules: Rule
     nearest = lambda col, k: F.array_min(F.array(*[distance(col, r[k]) for r in refs])) if refs else F.lit(None).cast("double")
     found = found.withColumn("char_distance", F.when(n_chars >= rules.guard_chars, nearest("chars", 0)))
     found = found.withColumn("word_distance", F.when(F.col("n_words") >= rules.guard_words, nearest("words", 1)))
-    verdict = (F.coalesce("char_distance", F.lit(0.0)) <= rules.max_char_distance) & (F.coalesce("word_distance", F.lit(0.0)) <= rules.max_word_distance)
+    verdict = (F.coalesce("char_distance", F.lit(0.0)) <= rules.max_char_distance) & (F.coalesce("word_distance", F.lit(0.0)) <= rules.max_word_distance + rules.word_slack / F.sqrt("n_words"))
     return found.withColumn("base_failed", base_failed(rules)).withColumn("kept", ~F.col("base_failed") & verdict)
 
 
@@ -118,8 +122,8 @@ def quality(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", id_
     """One row per row of docs: doc_id, text_hash, the base counts, char_distance, word_distance, base_failed, kept.
 
     A document is held against the nearest of all references, so that a null or wrong language costs it
-    nothing. Null texts have no words and fail the base rules; null ids and repeated rows return like any
-    other; an empty table gives an empty one. Texts are read once: the counts are written to the shared
+    nothing. Null texts have no words and fail the base rules; texts of any length are read whole; null ids and repeated
+    rows return like any other; other columns play no part; an empty table gives an empty one. Texts are read once: the counts are written to the shared
     folder, the references summed from them.
     """
     keys = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
@@ -158,10 +162,10 @@ h AS (SELECT *, [word_chars - up - di - ma - n_symbols - wi, up, di, ma, n_symbo
   list_append(list_transform([{vocab}], lambda v: len(list_filter(cw, lambda x: x = v))), n_words - len(cw)) AS hw,
   n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words AS base_failed FROM f),
 ref AS (SELECT lang, [{", ".join(f"sum(hc[{i}])" for i in range(1, 8))}] AS rc, [{", ".join(f"sum(hw[{i}])" for i in range(1, n + 2))}] AS rw
-  FROM h WHERE lang IN ({langs}) AND NOT base_failed AND n_words >= {rules.guard_words} GROUP BY lang),
+  FROM h WHERE lang IN ({langs}) AND NOT base_failed AND n_words >= {rules.reference_words} GROUP BY lang),
 rs AS (SELECT list_transform(rc, lambda x: x / list_sum(rc)::DOUBLE) AS rc, list_transform(rw, lambda x: x / list_sum(rw)::DOUBLE) AS rw FROM ref),
 p AS (SELECT rid, list_transform(hc, lambda x: x / nullif(n_chars, 0)::DOUBLE) AS pc, list_transform(hw, lambda x: x / nullif(n_words, 0)::DOUBLE) AS pw FROM h),
 dist AS (SELECT rid, min({jsd('pc', 'rc')}) AS dc, min({jsd('pw', 'rw')}) AS dw FROM p, rs GROUP BY rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND (n_chars < {rules.guard_chars} OR coalesce(dc, 0) <= {rules.max_char_distance}) AND (n_words < {rules.guard_words} OR coalesce(dw, 0) <= {rules.max_word_distance}) AS kept
+  NOT base_failed AND (n_chars < {rules.guard_chars} OR coalesce(dc, 0) <= {rules.max_char_distance}) AND (n_words < {rules.guard_words} OR coalesce(dw, 0) <= {rules.max_word_distance} + {rules.word_slack} / sqrt(n_words)) AS kept
 FROM h LEFT JOIN dist USING (rid)"""
