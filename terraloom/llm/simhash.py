@@ -176,12 +176,13 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def link(fps: DataFrame, radius: int = 2, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """fps(fp), distinct -> edges(a, b) that connect, directly or over others, all fingerprints which
-    differ in at most radius bits. A sample of at most 4 * MOST_SHARDS fingerprints, taken by hash
-    order, shapes the routing tree; it balances the shards and has no say in the result."""
+    differ in at most radius bits. A sample of about 4 * MOST_SHARDS fingerprints at most, those with the lowest
+    hashes, shapes the routing tree; it balances the shards and has no say in the result."""
     spark = fps.sparkSession
     n = fps.count()
     shards = min(MOST_SHARDS, max(1, -(-n // shard_rows)))
-    sample = fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE_PER_SHARD * max(shards, 256)).collect() if shards > 1 else []
+    share = min(1.0, SAMPLE_PER_SHARD * max(shards, 256) / max(n, 1))
+    sample = fps.where(F.shiftrightunsigned(F.xxhash64("fp"), 1) <= int(share * (2**63 - 1024))).collect() if shards > 1 else []
     root, shards = build_routes(np.array([r[0] for r in sample], np.int64).view(np.uint64), shards)
     tree = spark.sparkContext.broadcast(root)
 
