@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import rotation
 from ..functions.geodesy import LocalFrame, ecef_to_geodetic, geodetic_to_ecef
 from ..operators import filters, joins, mesh, raster, spatial, track, voxel
+from ..sources import sqlite_log
 from ..scratch import materialise
 
 BOX = (-10.0, 10.0, 20.0, 60.0, 2.0, 8.0)
@@ -83,12 +84,12 @@ def query(sql: str | None = None):
 
 @query(f"WITH {LOG} SELECT min(t) AS t_min, max(t) AS t_max, count(*) AS n FROM lg")
 def log_bounds(spark, sf):
-    return log(spark, sf).agg(F.min("t").alias("t_min"), F.max("t").alias("t_max"), F.count("*").alias("n"))
+    return sqlite_log.bounds(log(spark, sf), "t")
 
 
 @query(f"WITH {LOG} SELECT topic, count(*) AS n FROM lg GROUP BY topic")
 def topic_counts(spark, sf):
-    return log(spark, sf).groupBy("topic").agg(F.count("*").alias("n"))
+    return sqlite_log.summary(log(spark, sf))
 
 
 @query(f"WITH {LOG} SELECT topic, t, seq FROM lg WHERE t <= (SELECT min(t) FROM lg) + 86400000000")
@@ -98,8 +99,7 @@ def time_slice(spark, sf):
 
 @query(f"WITH {LOG} SELECT topic, t, seq FROM lg UNION ALL SELECT 'static', min(t), 0 FROM lg")
 def inject_union(spark, sf):
-    df = log(spark, sf).select("topic", "t", "seq")
-    return df.unionByName(df.agg(F.min("t").alias("t")).select(F.lit("static").alias("topic"), "t", F.lit(0).cast("long").alias("seq")))
+    return sqlite_log.inject(log(spark, sf).select("topic", "t", "seq"), {"topic": "static", "seq": 0}, "t")
 
 
 @query(f"WITH {LOG} SELECT seq, CASE WHEN topic = 'click' THEN 'secondary' ELSE topic END AS frame FROM lg")
@@ -109,7 +109,7 @@ def frame_rename(spark, sf):
 
 @query(f"WITH {LOG} SELECT topic, t, seq FROM lg WHERE topic IN ('view', 'click')")
 def topic_scan(spark, sf):
-    return log(spark, sf).where(F.col("topic").isin("view", "click")).select("topic", "t", "seq")
+    return sqlite_log.of_topics(log(spark, sf), ["view", "click"]).select("topic", "t", "seq")
 
 
 @query("SELECT p_partkey, p_brand FROM part WHERE p_brand IN ('Brand#11', 'Brand#22', 'Brand#33')")
@@ -174,7 +174,7 @@ def origin_first_fix(spark, sf):
 
 @query(f"WITH {LOG} SELECT topic, arg_min(sensor, (t, seq)) AS sensor, min(t) AS t FROM lg GROUP BY topic")
 def first_per_topic(spark, sf):
-    return log(spark, sf).groupBy("topic").agg(F.min_by("sensor", F.struct("t", "seq")).alias("sensor"), F.min("t").alias("t"))
+    return sqlite_log.first_of_topics(log(spark, sf), ["sensor", "t"], ["t", "seq"])
 
 
 # ---- aggregates
@@ -267,28 +267,26 @@ def static_transform(spark, sf):
 @query(f"""WITH {LOG}, c AS (SELECT * FROM (VALUES ('click', 1), ('view', 2), ('purchase', 3)) AS v(topic, chan)) SELECT seq, chan FROM lg JOIN c USING (topic)""")
 def channel_lookup(spark, sf):
     chans = spark.createDataFrame([("click", 1), ("view", 2), ("purchase", 3)], "topic string, chan int")
-    return log(spark, sf).join(F.broadcast(chans), "topic").select("seq", "chan")
+    return sqlite_log.with_channel(log(spark, sf), chans, "topic").select("seq", "chan")
 
 
-_NN = f"""WITH {CLD}, v AS (SELECT id // 10 AS idx, x, y, z FROM cld WHERE id % 10 = 0), p AS (SELECT * FROM cld WHERE id % 10 <> 0),
-d AS (SELECT p.*, v.idx, v.x AS vx, v.y AS vy, v.z AS vz, power(p.x - v.x, 2) + power(p.y - v.y, 2) AS d2 FROM p JOIN v ON abs(p.x - v.x) <= 3 AND abs(p.y - v.y) <= 3),
+_NN = f"""WITH {CLD}, v AS (SELECT s_suppkey AS idx, s_acctbal / 500 - 9.0 AS x, (s_suppkey % 17) * 1.03 - 8.0 AS y, (s_suppkey % 5) - 2.0 AS z FROM supplier),
+d AS (SELECT p.*, v.idx, v.x AS vx, v.y AS vy, v.z AS vz, power(p.x - v.x, 2) + power(p.y - v.y, 2) AS d2 FROM cld p JOIN v ON abs(p.x - v.x) <= 3 AND abs(p.y - v.y) <= 3),
 n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d2, idx) AS r FROM d WHERE d2 <= 9)"""
 
 
-def _vertices(c):
-    return c.where("id % 10 = 0").selectExpr("CAST(id DIV 10 AS BIGINT) AS idx", "x", "y", "z", "CAST(id AS DOUBLE) AS along", "CAST(0.6 AS DOUBLE) AS tx", "CAST(0.8 AS DOUBLE) AS ty")
+def _vertices(spark, sf):
+    return _read(spark, sf, "supplier").selectExpr("s_suppkey AS idx", "s_acctbal / 500 - 9.0D AS x", "(s_suppkey % 17) * 1.03D - 8.0D AS y", "(s_suppkey % 5) - 2.0D AS z", "s_suppkey * 10.0D AS along", "0.6D AS tx", "0.8D AS ty")
 
 
 @query(_NN + " SELECT id, idx, round(d2, 6) AS d2 FROM n WHERE r = 1")
 def nearest_vertex(spark, sf):
-    c = cloud(spark, sf)
-    return spatial.nearest_vertex(c.where("id % 10 <> 0"), _vertices(c), 3.0, "id").select("id", F.col("idx").cast("long").alias("idx"), F.round("d2", 6).alias("d2"))
+    return spatial.nearest_vertex(cloud(spark, sf), _vertices(spark, sf), 3.0, "id").select("id", F.col("idx").cast("long").alias("idx"), F.round("d2", 6).alias("d2"))
 
 
 @query(_NN + " SELECT id, idx::INTEGER AS nearest_idx, round((0.6 * (y - vy) - 0.8 * (x - vx))::FLOAT::DOUBLE, 4) AS signed_lat, (idx * 10)::DOUBLE AS along FROM n WHERE r = 1 AND z BETWEEN vz - 2 AND vz + 4")
 def corridor(spark, sf):
-    c = cloud(spark, sf)
-    out = spatial.corridor(c.where("id % 10 <> 0"), _vertices(c), 3.0, 4.0, 2.0)
+    out = spatial.corridor(cloud(spark, sf), _vertices(spark, sf), 3.0, 4.0, 2.0)
     return out.select("id", "nearest_idx", F.round(F.col("signed_lat").cast("double"), 4).alias("signed_lat"), F.col("along").cast("double").alias("along"))
 
 

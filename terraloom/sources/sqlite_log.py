@@ -117,5 +117,24 @@ def write_log(messages: DataFrame, path: str, codec: str = "zstd") -> None:
 
 def read_log(spark: SparkSession, path: str, topics: list[str] | None = None) -> DataFrame:
     """Topics prune partitions."""
-    df = spark.read.parquet(path)
-    return df.where(F.col("topic").isin(topics)) if topics else df
+    return of_topics(spark.read.parquet(path), topics)
+
+
+def of_topics(messages: DataFrame, topics: list[str] | None, topic: str = "topic") -> DataFrame:
+    return messages.where(F.col(topic).isin(topics)) if topics else messages
+
+
+def first_of_topics(messages: DataFrame, values: list[str], order: list[str], topic: str = "topic") -> DataFrame:
+    """Each topic with the values of its first message: the frame that its scans have, for one."""
+    return messages.groupBy(topic).agg(F.min(F.struct(F.struct(*order).alias("o"), F.struct(*values).alias("v"))).alias("m")).select(topic, "m.v.*")
+
+
+def with_channel(messages: DataFrame, channels: DataFrame, key: str) -> DataFrame:
+    """messages of known channels, with what is known of them: one row a topic, so a table that is broadcast."""
+    return messages.join(F.broadcast(channels), key)
+
+
+def inject(messages: DataFrame, first: dict[str, object], t: str) -> DataFrame:
+    """messages and one more at their first time, with the given values; none if there are no messages."""
+    one = messages.agg(F.min(t).alias(t)).where(F.col(t).isNotNull())
+    return messages.unionByName(one.select(t, *[F.lit(v).cast(messages.schema[c].dataType).alias(c) for c, v in first.items()]))
