@@ -170,7 +170,9 @@ FIELDS = (("text", "string", True, None, None, 400), ("counts", "object", True,
 
 def schemas(df: DataFrame) -> DataFrame:
     """The two tools of calls_of_conversations()."""
-    return df.sparkSession.createDataFrame([(name, [*FIELDS]) for name in ("ask", "configure")], "name string, fields array<struct<path: string, type: string, required: boolean, minimum: double, maximum: double, max_length: int>>")
+    kinds = dict(path="string", type="string", required="boolean", minimum="double", maximum="double", max_length="int")
+    fields = F.array(*[F.struct(*[F.lit(x).cast(kind).alias(c) for x, (c, kind) in zip(f, kinds.items())]) for f in FIELDS])
+    return df.sparkSession.range(2).select(F.when(F.col("id") == 0, "ask").otherwise("configure").alias("name"), fields.alias("fields"))
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:
