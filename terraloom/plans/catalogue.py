@@ -5,16 +5,25 @@ Each query applies an operator of the library; its twin states the same rows in
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import rotation
 from ..functions.geodesy import LocalFrame, ecef_to_geodetic, geodetic_to_ecef
 from ..operators import filters, joins, mesh, raster, spatial, track, voxel
-from ..sources import sqlite_log
-from ..scratch import materialise
-
-BOX = (-10.0, 10.0, 20.0, 60.0, 2.0, 8.0)
+from ..scratch import materialise, scratch_dir
+from ..sources import cloud as cloud_file_format
+from ..sources import decode, files, sqlite_log
+from ..streaming import decimate_stream, voxel_stream
+from . import map as map_plan
+from . import mesh as mesh_plan
+
+BOX = filters.parse_box("-10,10,20,60,2,8")
 FRAME = LocalFrame(45.0, 7.0, 300.0)
 _Q, _SQL = {}, {}
 
@@ -27,7 +36,7 @@ TRK = """trk AS (SELECT user_id AS trk, event_id AS seq, sum(value * cos(event_i
 tk AS (SELECT trk, seq, round(x, 4) AS x, round(y, 4) AS y, z FROM trk)"""
 CLD = "cld AS (SELECT vec_id AS id, embedding[1]::DOUBLE * 30 AS x, embedding[2]::DOUBLE * 30 AS y, embedding[3]::DOUBLE * 30 AS z FROM embeddings)"
 GRID = PTS + """, cells AS (SELECT CAST(floor((x + 25) / 2.5) AS BIGINT) AS ix, CAST(floor(y / 4.0) AS BIGINT) AS iy, avg(z::DOUBLE) AS v FROM pts GROUP BY 1, 2),
-grid AS (SELECT ix, iy, round(v, 6) * 1.0000001237::DOUBLE AS val FROM cells WHERE round(v, 6) >= 4.85)"""
+grid AS (SELECT ix, iy, floor(v * 10000) / 10000 AS val FROM cells WHERE v >= 4.85)"""
 HIGH = "g AS (SELECT ix, iy FROM grid WHERE val >= 5.05)"
 
 
@@ -59,10 +68,10 @@ def cloud(spark, sf):
 
 
 def grid(spark, sf):
-    """Cells of all points; those of a low mean stay empty, so that the raster has holes."""
+    """Cells of all points, heights in whole ten-thousandths; those of a low mean stay empty, so that the raster has holes."""
     p = points(spark, sf).withColumn("ix", F.floor((F.col("x") + 25) / 2.5).cast("long")).withColumn("iy", F.floor(F.col("y") / 4.0).cast("long"))
-    cells = p.groupBy("ix", "iy").agg(F.round(F.avg(F.col("z").cast("double")), 6).alias("v")).where(F.col("v") >= F.lit(4.85))
-    return cells.select("ix", "iy", (F.col("v") * F.lit(1.0000001237)).alias("val"))
+    cells = p.groupBy("ix", "iy").agg(F.avg(F.col("z").cast("double")).alias("v")).where(F.col("v") >= F.lit(4.85))
+    return cells.select("ix", "iy", (F.floor(F.col("v") * 10000) / 10000).alias("val"))
 
 
 def _rounded(df: DataFrame, n: int, *cols: str) -> DataFrame:
@@ -102,9 +111,17 @@ def inject_union(spark, sf):
     return sqlite_log.inject(log(spark, sf).select("topic", "t", "seq"), {"topic": "static", "seq": 0}, "t")
 
 
-@query(f"WITH {LOG} SELECT seq, CASE WHEN topic = 'click' THEN 'secondary' ELSE topic END AS frame FROM lg")
+#: A stamped header and a number behind it, so that the frame's length moves what follows.
+_STAMPED = [("header", decode.HEADER), ("seq", "uint32")]
+
+
+@query(f"WITH {LOG} SELECT seq, t, CASE WHEN topic = 'click' THEN 'secondary' ELSE topic END AS frame FROM lg")
 def frame_rename(spark, sf):
-    return log(spark, sf).select("seq", F.when(F.col("topic") == "click", "secondary").otherwise(F.col("topic")).alias("frame"))
+    header = F.struct(F.floor(F.col("t") / 1_000_000).cast("int").alias("sec"), (F.col("t") % 1_000_000 * 1000).alias("nanosec"), F.col("topic").alias("frame_id"))
+    sent = decode.encode_records(log(spark, sf).withColumn("rec", F.struct(header.alias("header"), "seq")), _STAMPED, keep=("topic",))
+    sent = sent.withColumn("data", F.when(F.col("topic") == "click", filters.rename_frame(F.col("data"), "secondary")).otherwise(F.col("data")))
+    got = decode.decode_records(sent, _STAMPED, "struct<header: struct<sec: int, nanosec: bigint, frame_id: string>, seq: bigint>")
+    return got.selectExpr("rec.seq", "rec.header.sec * 1000000L + rec.header.nanosec div 1000 AS t", "rec.header.frame_id AS frame")
 
 
 @query(f"WITH {LOG} SELECT topic, t, seq FROM lg WHERE topic IN ('view', 'click')")
@@ -167,9 +184,12 @@ def filter_funnel(spark, sf):
     return filters.funnel(points(spark, sf), "l_linenumber", {"after_range": filters.range_ok("x", "y", "z", 20, 50), "after_ego": ~filters.inside_box("xyz", BOX), "after_z": F.col("z") <= 6})
 
 
-@query(f"WITH {LOG} SELECT t, seq, sensor FROM lg WHERE topic IN ('view', 'purchase') ORDER BY t, seq LIMIT 1")
+@query(f"WITH {LOG} SELECT sensor * 0.25::DOUBLE AS lat, (seq % 180)::DOUBLE AS lon, coalesce(value, 0.0)::DOUBLE AS alt FROM lg WHERE topic IN ('view', 'purchase') ORDER BY seq LIMIT 1")
 def origin_first_fix(spark, sf):
-    return filters.quality(log(spark, sf), "topic", ("view", "purchase")).orderBy("t", "seq").limit(1).select("t", "seq", "sensor")
+    kind = F.when(F.col("topic").isin("view", "purchase"), "NARROW_INT").otherwise("NONE")
+    poses = log(spark, sf).select(F.col("seq").alias("t_ns"), kind.alias("position_type"), (F.col("sensor") * 0.25).alias("latitude"), (F.col("seq") % 180).cast("double").alias("longitude"), F.coalesce("value", F.lit(0.0)).cast("double").alias("altitude"))
+    frame = map_plan.origin(poses)
+    return spark.createDataFrame([(frame.lat0, frame.lon0, frame.alt0)], "lat double, lon double, alt double")
 
 
 @query(f"WITH {LOG} SELECT topic, arg_min(sensor, (t, seq)) AS sensor, min(t) AS t FROM lg GROUP BY topic")
@@ -435,18 +455,18 @@ def rasterise(spark, sf):
 _NEAR = "SELECT {0}.ix + dx AS ix, {0}.iy + dy AS iy, val FROM {0}, (SELECT unnest([-1, 0, 1]) AS dx), (SELECT unnest([-1, 0, 1]) AS dy)"
 
 
-@query(f"WITH {GRID}, s AS ({_NEAR.format('grid')}) SELECT ix, iy, round(avg(val), 5) AS val FROM s WHERE (ix, iy) IN (SELECT (ix, iy) FROM grid) GROUP BY ix, iy")
+@query(f"WITH {GRID}, s AS ({_NEAR.format('grid')}) SELECT ix, iy, round(avg(val), 10) AS val FROM s WHERE (ix, iy) IN (SELECT (ix, iy) FROM grid) GROUP BY ix, iy")
 def box_smooth(spark, sf):
-    return _rounded(raster.box_smooth(grid(spark, sf)), 5, "val")
+    return _rounded(raster.box_smooth(grid(spark, sf)), 10, "val")
 
 
 def _fill_step(src, dst, least, more):
     return f"""{dst}n AS ({_NEAR.format(src)} WHERE dx <> 0 OR dy <> 0), {dst} AS (SELECT ix, iy, val FROM {src} UNION ALL SELECT ix, iy, avg(val) AS val FROM {dst}n WHERE (ix, iy) NOT IN (SELECT (ix, iy) FROM {src}) AND {more} GROUP BY ix, iy HAVING count(*) >= {least})"""
 
 
-@query(f"WITH {GRID}, {_fill_step('grid', 'g1', 2, f'ix BETWEEN 0 AND {NX - 1} AND iy BETWEEN 0 AND {NY - 1}')}, {_fill_step('g1', 'g2', 3, f'ix BETWEEN 0 AND {NX - 1} AND iy BETWEEN 0 AND {NY - 1}')} SELECT ix, iy, round(val, 5) AS val FROM g2")
+@query(f"WITH {GRID}, {_fill_step('grid', 'g1', 2, f'ix BETWEEN 0 AND {NX - 1} AND iy BETWEEN 0 AND {NY - 1}')}, {_fill_step('g1', 'g2', 3, f'ix BETWEEN 0 AND {NX - 1} AND iy BETWEEN 0 AND {NY - 1}')} SELECT ix, iy, round(val, 10) AS val FROM g2")
 def hole_fill_wall(spark, sf):
-    return _rounded(raster.thicken(grid(spark, sf), NX, NY), 5, "val")
+    return _rounded(raster.thicken(grid(spark, sf), NX, NY), 10, "val")
 
 
 def _outside(src, name):
@@ -454,13 +474,13 @@ def _outside(src, name):
 {name} AS (SELECT ix, iy FROM {name}e WHERE ix IN (0, {NX - 1}) OR iy IN (0, {NY - 1}) UNION SELECT e.ix, e.iy FROM {name}e e JOIN {name} o ON abs(e.ix - o.ix) + abs(e.iy - o.iy) = 1)"""
 
 
-@query(f"WITH RECURSIVE {GRID}, {_outside('grid', 'o1')}, {_fill_step('grid', 'g1', 3, f'ix BETWEEN 0 AND {NX - 1} AND iy BETWEEN 0 AND {NY - 1} AND (ix, iy) NOT IN (SELECT (ix, iy) FROM o1)')}, {_outside('g1', 'o2')}, {_fill_step('g1', 'g2', 3, f'ix BETWEEN 0 AND {NX - 1} AND iy BETWEEN 0 AND {NY - 1} AND (ix, iy) NOT IN (SELECT (ix, iy) FROM o2)')} SELECT ix, iy, round(val, 5) AS val FROM g2")
+@query(f"WITH RECURSIVE {GRID}, {_outside('grid', 'o1')}, {_fill_step('grid', 'g1', 3, f'ix BETWEEN 0 AND {NX - 1} AND iy BETWEEN 0 AND {NY - 1} AND (ix, iy) NOT IN (SELECT (ix, iy) FROM o1)')}, {_outside('g1', 'o2')}, {_fill_step('g1', 'g2', 3, f'ix BETWEEN 0 AND {NX - 1} AND iy BETWEEN 0 AND {NY - 1} AND (ix, iy) NOT IN (SELECT (ix, iy) FROM o2)')} SELECT ix, iy, round(val, 10) AS val FROM g2")
 def hole_fill_ground(spark, sf):
     g = materialise(grid(spark, sf).where(f"ix BETWEEN 0 AND {NX - 1} AND iy BETWEEN 0 AND {NY - 1}"))
     rest = grid(spark, sf).where(f"NOT (ix BETWEEN 0 AND {NX - 1} AND iy BETWEEN 0 AND {NY - 1})")
     for _ in range(2):
         g = materialise(raster.fill_holes(g, NX, NY, 1))
-    return _rounded(g.select("ix", "iy", "val").unionByName(rest.select("ix", "iy", "val")), 5, "val")
+    return _rounded(g.select("ix", "iy", "val").unionByName(rest.select("ix", "iy", "val")), 10, "val")
 
 
 @query(f"""WITH RECURSIVE {GRID}, {HIGH}, reach AS (SELECT ix, iy, ix AS jx, iy AS jy FROM g UNION SELECT r.ix, r.iy, g.ix, g.iy FROM reach r JOIN g ON abs(r.jx - g.ix) + abs(r.jy - g.iy) = 1)
@@ -533,11 +553,6 @@ def curtain_embed(spark, sf):
     return _rounded(mesh.curtain_vertices(cells, 1.0, 0.0, -2.0, "left"), 5, "x", "y", "z")
 
 
-@query(f"WITH {GEO} SELECT id, printf('lat=%.6f lon=%.6f ele=%.2f', lat + 0.0000001, lon + 0.0000001, alt + 0.001) AS line FROM geo")
-def osm_nodes(spark, sf):
-    return geo(spark, sf).select("id", F.format_string("lat=%.6f lon=%.6f ele=%.2f", F.col("lat") + 0.0000001, F.col("lon") + 0.0000001, F.col("alt") + 0.001).alias("line"))
-
-
 @query(f"""WITH {_VID}, {_QUAD}, {_faces_sql(mesh.CCW)} SELECT 'v' AS kind, printf('v %.6f %.6f %.6f', (ix + 0.5) * 0.5, (iy + 0.5) * 0.5, val) AS line FROM v
 UNION ALL SELECT 'f', 'f ' || (a + 1) || ' ' || (b + 1) || ' ' || (c + 1) FROM fc""")
 def obj_lines(spark, sf):
@@ -559,6 +574,167 @@ def schema_closure(spark, sf):
     return spark.createDataFrame(rows, "root string, name string")
 
 
+# ---- files, payloads and streams, there and back
+
+
+def _file(spark: SparkSession, name: str) -> str:
+    return f"{scratch_dir(spark).removeprefix('file://')}/{uuid.uuid4().hex}-{name}"
+
+
+@query(f"WITH {CLD} SELECT row_number() OVER (ORDER BY id) - 1 AS idx, x::FLOAT AS x, y::FLOAT AS y, z::FLOAT AS z, (id % 7)::FLOAT AS i FROM cld")
+def cloud_file(spark, sf):
+    path = _file(spark, "cloud.pcd")
+    cloud_file_format.write_cloud(cloud(spark, sf).withColumn("i", F.col("id") % 7), path, "id")
+    return cloud_file_format.read_cloud(spark, path, 1 << 16)
+
+
+@query(f"WITH {TRK} SELECT seq AS t_ns, x + 0.0 AS x, y + 0.0 AS y, z FROM tk")
+def track_file(spark, sf):
+    path = _file(spark, "track.csv")
+    files.write_track(tracks(spark, sf).select(F.col("seq").alias("t_ns"), "x", "y", "z"), path)
+    return files.read_track(spark, path).select("t_ns", (F.col("x") + F.lit(0.0)).alias("x"), (F.col("y") + F.lit(0.0)).alias("y"), "z")
+
+
+@query(f"""WITH {LOG}, n AS (SELECT *, row_number() OVER (ORDER BY t, seq) - 1 AS sequence FROM lg)
+SELECT topic, t * 1000 AS log_time, sequence, sensor::VARCHAR AS body FROM n WHERE topic IN ('view', 'click')""")
+def log_file(spark, sf):
+    path = _file(spark, "log")
+    out = joins.running_number(log(spark, sf), "t", ["t", "seq"], "sequence").withColumn("log_time", F.col("t") * 1000)
+    sqlite_log.write_log(out.select("topic", "log_time", F.col("log_time").alias("publish_time"), "sequence", F.encode(F.col("sensor").cast("string"), "UTF-8").alias("data")), path)
+    return sqlite_log.read_log(spark, path, ["view", "click"]).select("topic", "log_time", "sequence", F.decode("data", "UTF-8").alias("body"))
+
+
+_RECORD = [("header", decode.HEADER), ("known", "bool"), ("value", "float64"), ("pair", ("int16", 2)), ("marks", ([("k", "uint8"), ("v", "int64")], None))]
+
+
+@query(f"""WITH {LOG} SELECT seq, t, topic AS frame, value IS NOT NULL AS known, coalesce(value, -1.0)::DOUBLE AS value, (sensor % 100 - 50)::SMALLINT AS pair,
+CASE WHEN seq % 3 = 0 THEN 0 ELSE seq * 1000003 END AS mark FROM lg""")
+def record_payloads(spark, sf):
+    """Records with nested fields, arrays and sequences, empty ones among them, packed and read again."""
+    rec = """named_struct('header', named_struct('sec', CAST(t div 1000000 AS INT), 'nanosec', t % 1000000 * 1000, 'frame_id', topic), 'known', value IS NOT NULL, 'value', CAST(coalesce(value, -1.0) AS DOUBLE),
+    'pair', array(CAST(0 AS SMALLINT), CAST(sensor % 100 - 50 AS SMALLINT)), 'marks', IF(seq % 3 = 0, array(), array(named_struct('k', CAST(7 AS SMALLINT), 'v', seq * 1000003L))))"""
+    sent = decode.encode_records(log(spark, sf).withColumn("rec", F.expr(rec)), _RECORD, keep=("seq",))
+    got = decode.decode_records(sent, _RECORD, "struct<header: struct<sec: int, nanosec: bigint, frame_id: string>, known: boolean, value: double, pair: array<smallint>, marks: array<struct<k: smallint, v: bigint>>>", keep=("seq",))
+    return got.selectExpr("seq", "rec.header.sec * 1000000L + rec.header.nanosec div 1000 AS t", "rec.header.frame_id AS frame", "rec.known", "rec.value", "rec.pair[1] AS pair", "coalesce(get(rec.marks, 0).v, 0L) AS mark")
+
+
+@query(f"WITH {PTS} SELECT l_orderkey, (row_number() OVER (PARTITION BY l_orderkey ORDER BY x, y, z, i) - 1)::INTEGER AS pt_idx, x, y, z, i FROM pts")
+def scan_points(spark, sf):
+    """The points of an order as one scan of records of 20 bytes, unpacked again."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = []
+            for pts in batch.column(1).to_pylist():
+                raw = np.zeros((len(pts), 5), "<f4")
+                raw[:, :4] = [(p["x"], p["y"], p["z"], p["i"]) for p in pts]
+                data.append(raw.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(data, pa.binary())], ["l_orderkey", "width", "data"])
+
+    one = points(spark, sf).groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("x", "y", "z", "i"))).alias("pts"))
+    key = one.schema["l_orderkey"].dataType.simpleString()
+    scans = one.select("l_orderkey", "pts", F.size("pts").alias("width")).mapInArrow(packed, f"l_orderkey {key}, width int, data binary")
+    return decode.explode_scans(scans.withColumns({"height": F.lit(1), "point_step": F.lit(20)}), ["l_orderkey"])
+
+
+_NATIONS = "m AS (SELECT n_name AS parent, 'c' || (n_nationkey % 20) AS child, n_nationkey AS k, n_regionkey + 0.5::DOUBLE AS tx, n_nationkey * 0.25::DOUBLE AS ty, n_nationkey * 0.001::DOUBLE AS qz FROM nation)"
+
+
+def _nations(spark, sf) -> list[tuple]:
+    """A transform for each of the 25 nations."""
+    return [(r["n_name"], f"c{r['n_nationkey'] % 20}", (r["n_regionkey"] + 0.5, r["n_nationkey"] * 0.25, -1.0), (0.0, 0.0, r["n_nationkey"] * 0.001, 1.0)) for r in _read(spark, sf, "nation").orderBy("n_nationkey").collect()]
+
+
+@query(f"WITH {_NATIONS} SELECT parent, child, tx, ty, -1.0::DOUBLE AS tz, 0.0::DOUBLE AS qx, 0.0::DOUBLE AS qy, qz, 1.0::DOUBLE AS qw FROM m QUALIFY row_number() OVER (PARTITION BY child ORDER BY k DESC) = 1")
+def first_transforms(spark, sf):
+    """The log's first transform message; five children stand in it twice, and a later message plays no part."""
+    sent = _nations(spark, sf)
+    rows = [("/tf_static", t, n, bytearray(decode.transforms_message(t, some))) for n, (t, some) in enumerate([(20, sent[:3]), (10, sent)])]
+    return decode.static_transforms(spark.createDataFrame(rows, "topic string, log_time long, sequence long, data binary"))
+
+
+@query(f"WITH {_NATIONS} SELECT parent, 's' || k AS child, tx, ty, -1.0::DOUBLE AS tz, 0.0::DOUBLE AS qx, 0.0::DOUBLE AS qy, qz, 1.0::DOUBLE AS qw FROM m WHERE k <> 4")
+def transforms_file(spark, sf):
+    import yaml
+
+    path = _file(spark, "transforms.yaml")
+    sensors = {f"s{n}": {"parent": p, "translation_m": list(t), "rotation_quat_xyzw": list(q)} for n, (p, _, t, q) in enumerate(_nations(spark, sf))}
+    with open(path, "w", encoding="utf-8") as f:
+        yaml.safe_dump({"reference_frame": "base", "sensors": sensors}, f)
+    return files.read_transforms(spark, path, skip=("s4",))
+
+
+@query("""WITH l AS (SELECT n_nationkey AS k, 45.0::DOUBLE + n_nationkey * 0.01::DOUBLE AS lat, 7.0::DOUBLE + n_nationkey * 0.02::DOUBLE AS lon, n_nationkey * 0.5::DOUBLE AS alt, row_number() OVER (ORDER BY n_nationkey) AS n, count(*) OVER () AS m FROM nation)
+SELECT s * m + n AS id, printf('%.12f', lat + (1 - s) * 0.001::DOUBLE) AS lat, printf('%.12f', lon) AS lon, printf('%.3f', alt) AS ele FROM l, (SELECT unnest([0, 1, 2]) AS s) WHERE s < 2
+UNION ALL SELECT 2 * m + n, printf('%.12f', lat - 0.001::DOUBLE), printf('%.12f', lon), printf('%.3f', alt) FROM l""")
+def osm_nodes(spark, sf):
+    path = _file(spark, "lanes.osm")
+    rows = _read(spark, sf, "nation").selectExpr("45.0D + n_nationkey * 0.01D AS lat", "7.0D + n_nationkey * 0.02D AS lon", "n_nationkey * 0.5D AS alt").orderBy("lon").collect()
+    files.write_lane_graph(path, *([(r["lat"] + d, r["lon"], r["alt"]) for r in rows] for d in (0.001, 0.0, -0.001)))
+    node = r'<node id="(\d+)" [^>]*lat="([^"]*)" lon="([^"]*)">\s*<tag k="ele" v="([^"]*)"'
+    found = spark.read.text(path, wholetext=True).select(F.explode(F.regexp_extract_all("value", F.lit(node), F.lit(0))).alias("n"))
+    part = lambda k: F.regexp_extract("n", node, k)
+    return found.select(part(1).cast("long").alias("id"), part(2).alias("lat"), part(3).alias("lon"), part(4).alias("ele"))
+
+
+@query(f"""WITH {_VID}, {_QUAD}, {_faces_sql(mesh.CCW)} SELECT printf('v %.6f %.6f %.6f', (ix + 0.5) * 0.5, (iy + 0.5) * 0.5, val) AS line FROM v
+UNION ALL SELECT 'f ' || (a + 1) || ' ' || (b + 1) || ' ' || (c + 1) FROM fc UNION ALL VALUES ('# terraloom'), ('o Grid')""")
+def mesh_file(spark, sf):
+    path = _file(spark, "grid.obj")
+    v, f = (materialise(x) for x in _mesh(spark, sf))
+    files.write_mesh(v, f, path, "Grid")
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@query(f"""WITH {GEO}, a AS (SELECT *, radians(id % 360) AS a, radians(id % 50 - 25) AS b FROM geo)
+SELECT id, round(cos(a + b), 9) + 0.0 AS r11, round(-sin(a + b), 9) + 0.0 AS r12, round(sin(a + b), 9) + 0.0 AS r21, round(cos(a + b), 9) + 0.0 AS r22, 1.0::DOUBLE AS r33,
+round(cos(a) - 2 * sin(a) + lat, 7) + 0.0 AS x, round(sin(a) + 2 * cos(a) + lon, 7) + 0.0 AS y, round(3 + alt, 7) + 0.0 AS z FROM a""")
+def composed_rotation(spark, sf):
+    g = geo(spark, sf)
+    deg = lambda e: F.expr(e).cast("double")
+    r, t = rotation.compose(rotation.about(2, deg("id % 360")), (F.col("lat"), F.col("lon"), F.col("alt")), rotation.about(2, deg("id % 50 - 25")), (F.lit(1.0), F.lit(2.0), F.lit(3.0)))
+    out = g.select("id", *rotation.columns(r), *[c.alias(n) for c, n in zip(t, ("sx", "sy", "sz"))])
+    out = out.select("id", "r11", "r12", "r21", "r22", "r33", *[F.col(f"s{c}").alias(c) for c in "xyz"])
+    return _rounded(_rounded(out, 9, "r11", "r12", "r21", "r22", "r33"), 7, "x", "y", "z")
+
+
+@query(_NN + """, h AS (SELECT id, idx::INTEGER AS nearest_idx, (0.6 * (y - vy) - 0.8 * (x - vx))::FLOAT AS lat, z - vz AS h FROM n WHERE r = 1 AND z BETWEEN vz - 2 AND vz + 4)
+SELECT id, nearest_idx, round(h, 6) + 0.0 AS h, CASE WHEN lat > 0 THEN 'left' ELSE 'right' END AS side FROM h WHERE lat <> 0 AND h BETWEEN -1.05 AND 2.05""")
+def sides_above_track(spark, sf):
+    road = _vertices(spark, sf)
+    near = mesh_plan.with_height(spatial.corridor(cloud(spark, sf), road, 3.0, 4.0, 2.0), road)
+    return _rounded(mesh.split_sides(near, -1.05, 2.05).select("id", "nearest_idx", "h", "side"), 6, "h")
+
+
+@query(f"""WITH {PTS}, k AS (SELECT *, {_KEYS} FROM pts)
+SELECT {_PACK} AS key, {", ".join(f"round(avg({c}::DOUBLE)::FLOAT::DOUBLE, 4) + 0.0 AS {c}" for c in "xyzi")}, count(*) AS n FROM k GROUP BY 1""")
+def voxel_means_stream(spark, sf):
+    """The voxel means of the point table read as a stream: the last state that the stream wrote."""
+    path, state = _file(spark, "voxels"), _file(spark, "state")
+    table = spark.readStream.schema(_read(spark, sf, "lineitem").schema).parquet(f"{sf}/lineitem.parquet*")
+    f = lambda e: F.expr(e).cast("float")
+    moving = table.select(f("l_quantity - 25").alias("x"), f("l_extendedprice / 1000").alias("y"), f("l_discount * 100").alias("z"), f("l_tax * 100").alias("i"))
+    put = lambda batch, _: batch.write.mode("overwrite").parquet(path)
+    voxel_stream(moving).writeStream.outputMode("complete").foreachBatch(put).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    return _rounded(spark.read.parquet(path).select("key", *[F.col(c).cast("double").alias(c) for c in "xyzi"], "n"), 4, *"xyzi")
+
+
+@query(_SQL["decimate_track"])
+def decimate_track_stream(spark, sf):
+    """The tracks as a stream, decimated with state."""
+    came, path, state = _file(spark, "tracks"), _file(spark, "kept"), _file(spark, "state")
+    tracks(spark, sf).write.parquet(came)
+    store, rocks = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(store)
+    spark.conf.set(store, rocks)
+    try:
+        moving = spark.readStream.schema(spark.read.parquet(came).schema).parquet(came)
+        decimate_stream(moving, "trk", ["seq"], 40.0).writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(path).awaitTermination()
+    finally:
+        spark.conf.set(store, before)
+    return spark.read.parquet(path).select("trk", "seq")
+
+
 def queries():
     return dict(_Q)
 

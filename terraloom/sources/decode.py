@@ -61,6 +61,25 @@ class CdrWriter:
         self.data += b"\0" * (-(len(self.data) - 4) % size)
         self.data += struct.pack("<" + code, value)
 
+    def record(self, fields: Sequence[tuple], row: dict) -> None:
+        """Values by name, for fields as CdrReader.record() takes them."""
+        for name, kind in fields:
+            self.value(kind, row[name])
+
+    def value(self, kind, value) -> None:
+        if isinstance(kind, list):
+            self.record(kind, value)
+        elif isinstance(kind, tuple):
+            inner, n = kind
+            if n is None:
+                self.scalar("uint32", len(value))
+            elif len(value) != n:
+                raise ValueError(f"{len(value)} values for an array of {n}")
+            for x in value:
+                self.value(inner, x)
+        else:
+            self.scalar(kind, value)
+
 
 def transforms_message(t_ns: int, transforms: Sequence[tuple]) -> bytes:
     """The static-transform message of (parent, child, translation, quaternion) entries."""
@@ -96,6 +115,26 @@ def decode_records(messages: DataFrame, fields: Sequence[tuple], schema: str, da
     return messages.select(*keep, data).mapInArrow(run, full)
 
 
+def encode_records(rows: DataFrame, fields: Sequence[tuple], rec: str = "rec", keep: Sequence[str] = ()) -> DataFrame:
+    """The kept columns and `data`, the CDR payload of each row's struct: what decode_records() reads. A null struct gives null; nulls
+    in it are an error, as the layout has none."""
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep)
+
+    def one(row: dict | None) -> bytes | None:
+        if row is None:
+            return None
+        w = CdrWriter()
+        w.record(fields, row)
+        return bytes(w.data)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = pa.array([one(x) for x in batch.column(len(keep)).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], data], [*keep, "data"])
+
+    return rows.select(*keep, rec).mapInArrow(run, f"{kinds}, data binary" if kinds else "data binary")
+
+
 def scan_points(payload: bytes | None, n: int | None, step: int | None) -> np.ndarray:
     """(n, 4) of x, y, z, intensity: single floats at bytes 0, 4, 8 and 12 of each record."""
     if not payload or not n or not step:
