@@ -25,37 +25,40 @@ def _unique(df: DataFrame, others: list[str]) -> DataFrame:
     return best.select("call_id", "x.*", "times")
 
 
+def _chains(picked: DataFrame, rounds: int) -> DataFrame:
+    """picked(call_id, on), on null at an end -> (call_id, level): the steps to the end of a call's chain, by pointer doubling;
+    null where the chain has none."""
+    ends = F.col("on").isNull()
+    cur = picked.select("call_id", F.coalesce("on", "call_id").alias("anchor"), (~ends).cast("long").alias("dist"), ends.alias("done"))
+    while rounds and cur.where("NOT done").limit(1).count():
+        above = cur.select(F.col("call_id").alias("anchor"), F.col("anchor").alias("next"), F.col("dist").alias("more"), F.col("done").alias("ends"))
+        moved = cur.where("NOT done").join(above, "anchor").select("call_id", F.col("next").alias("anchor"), (F.col("dist") + F.col("more")).alias("dist"), F.col("ends").alias("done"))
+        cur = materialise(cur.where("done").unionByName(moved))
+        rounds -= 1
+    return cur.select("call_id", F.when(F.col("done"), F.col("dist")).alias("level"))
+
+
 def levels(nodes: DataFrame) -> DataFrame:
     """nodes(call_id, depends array<string>) with unique ids -> (call_id, level): the longest way over dependencies
     to a call that has none among the nodes. Calls on a cycle, or behind one, have a null level.
 
-    Chains of calls with one dependency each are contracted by pointer doubling, in as many rounds as the longest has
-    binary digits; then calls with several are settled in a round for each that follow on each other.
+    Each call picks one dependency, so that calls form chains, which pointer doubling measures in as many rounds as the longest
+    has binary digits; then calls go over to a dependency that stands higher than the one picked, until there is none. That
+    takes as many goes as ways differ in their picks (two or three for conversations), and at most the longest way.
     """
     nodes = materialise(nodes)
     edges = nodes.select("call_id", F.explode(F.array_distinct("depends")).alias("on"))
     edges = materialise(edges.join(nodes.select(F.col("call_id").alias("on")), "on", "left_semi"))
-    only = materialise(edges.groupBy("call_id").agg(F.count("*").alias("n"), F.min("on").alias("on")))
-    one = F.coalesce(F.col("n") == 1, F.lit(False))
-    cur = nodes.select("call_id").join(only, "call_id", "left")
-    cur = materialise(cur.select("call_id", F.when(one, F.col("on")).otherwise(F.col("call_id")).alias("anchor"), one.cast("long").alias("dist"), (~one).alias("done"), F.col("n").isNull().alias("root")))
-    rounds = cur.count().bit_length() + 1
-    while rounds and cur.where("NOT done").limit(1).count():
-        above = cur.select(F.col("call_id").alias("anchor"), F.col("anchor").alias("next"), F.col("dist").alias("more"), F.col("done").alias("ends"))
-        cur = materialise(cur.join(above, "anchor").select("call_id", F.col("next").alias("anchor"), (F.col("dist") + F.col("more")).alias("dist"), F.col("ends").alias("done"), "root"))
-        rounds -= 1
-    known = materialise(cur.where("root").select("call_id", F.lit(0).cast("long").alias("level")))
-    many = only.where("n > 1").select("call_id").join(edges, "call_id")
-    todo = materialise(many.join(cur.select(F.col("call_id").alias("on"), "anchor", "dist", "done"), "on").select(F.col("call_id").alias("call"), "anchor", (F.col("dist") + 1).alias("way"), "done"))
-    while todo.limit(1).count():
-        at = todo.join(known.withColumnRenamed("call_id", "anchor"), "anchor", "left")
-        new = materialise(at.groupBy("call").agg(F.count("*").alias("n"), F.count(F.when(F.col("done"), F.col("level"))).alias("k"), F.max(F.col("level") + F.col("way")).alias("level")).where("n = k").select(F.col("call").alias("call_id"), "level"))
-        if not new.limit(1).count():
-            break
-        known = materialise(known.unionAll(new))
-        todo = materialise(todo.join(new.select(F.col("call_id").alias("call")), "call", "left_anti"))
-    way = cur.join(known.withColumnRenamed("call_id", "anchor"), "anchor", "left")
-    return way.select("call_id", F.when(F.col("done"), F.col("level") + F.col("dist")).alias("level"))
+    picked = materialise(nodes.select("call_id").join(edges.groupBy("call_id").agg(F.max("on").alias("on")), "call_id", "left"))
+    rounds, endless = nodes.count().bit_length() + 1, 1 << 62
+    while True:
+        found = materialise(_chains(picked, rounds))
+        at = edges.join(found.select(F.col("call_id").alias("on"), F.coalesce("level", F.lit(endless)).alias("l")), "on")
+        best = at.groupBy("call_id").agg(F.max(F.struct("l", "on")).alias("best"))
+        higher = materialise(best.join(found, "call_id").where(F.col("level") < F.col("best.l") + 1).select("call_id", F.col("best.on").alias("new")))
+        if not higher.limit(1).count():
+            return found
+        picked = materialise(picked.join(higher, "call_id", "left").select("call_id", F.coalesce("new", "on").alias("on")))
 
 
 def _entries(value: Column, prefix: Column, depth: int) -> Column:
