@@ -17,10 +17,12 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules keep. Null and empty texts go, as they have too few words; the rest is as quality.keep_good() has it."""
     return quality.keep_good(docs)
 
 
 def line_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the chunks of lines that an earlier one has; see line_dedup.dedup_lines() for odd input."""
     return _recounted(line_dedup.dedup_lines(docs))
 
 
@@ -30,10 +32,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with surrogates for personal data; see surrogates.pseudonymise() for odd input."""
     return _recounted(surrogates.pseudonymise(docs, SURROGATE_KEY, spans_col=None))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row for each piece of a document in a sequence, as packing.pack() returns them with their ids."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
